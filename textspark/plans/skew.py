@@ -16,17 +16,19 @@ def heavy_keys(counts: DataFrame, keys: Sequence[str], weight: str, max_keys: in
     return counts.filter(F.col(weight) * F.lit(max_keys) >= total).select(*keys)
 
 
-def lookup_join(left: DataFrame, right: DataFrame, keys: Sequence[str], heavy: DataFrame) -> DataFrame:
-    """Inner join to a lookup table that is unique on `keys`, with the heavy keys kept out of the shuffle.
+def lookup_join(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], heavy: DataFrame, how: str = "inner"
+) -> DataFrame:
+    """Inner or left join to a lookup table unique on `keys`, with the heavy keys kept out of the shuffle.
 
     Rows of heavy keys meet a broadcast slice of the lookup (bounded by `heavy_keys`), so they neither move
     nor pile up in one task. The long tail is joined the ordinary way; AQE may still broadcast it.
     """
     keys = list(keys)
     heavy = heavy.select(*keys)
-    hot = right.join(F.broadcast(heavy), keys, "left_semi")
+    hot = heavy.join(right, keys, how)
     cold = right.join(F.broadcast(heavy), keys, "left_anti")
     columns = [*left.columns, *(c for c in right.columns if c not in keys)]
     near = left.join(F.broadcast(hot), keys).select(*columns)
-    far = left.join(F.broadcast(heavy), keys, "left_anti").join(cold, keys).select(*columns)
+    far = left.join(F.broadcast(heavy), keys, "left_anti").join(cold, keys, how).select(*columns)
     return near.unionByName(far)
