@@ -81,18 +81,19 @@ def sentence_ngrams(text: Column, tokenizer: Tokenizer, low: int, high: int, joi
     return F.flatten(F.transform(sentences(text), lambda s: word_ngrams(tokenizer(s), low, high, joiner)))
 
 
+def slices(text: Column, n: int) -> Column:
+    """Every substring of n characters, overlapping.
+
+    A lookahead captures n characters at each one consumed, so the text is walked once; substring(text, i, n)
+    would count characters from the start for every i.
+    """
+    return F.regexp_extract_all(text, F.lit(rf"(?s)(?=(.{{{n}}}))."), F.lit(1))
+
+
 def char_ngrams(text: Column, low: int, high: int, lowercase: bool = True) -> Column:
     """Character n-grams over the whole text after squeezing white-space runs of two or more."""
     flat = F.regexp_replace(F.lower(text) if lowercase else text, rf"[{patterns.SPACE_CHARS}]{{2,}}", " ")
-    return bind(
-        flat,
-        lambda s: F.concat(
-            *[
-                F.transform(positions(F.length(s) - (n - 1)), lambda i, n=n: F.substring(s, i, n))
-                for n in range(low, high + 1)
-            ]
-        ),
-    )
+    return bind(flat, lambda s: F.concat(*[slices(s, n) for n in range(low, high + 1)]))
 
 
 def char_wb_ngrams(text: Column, low: int, high: int, lowercase: bool = True) -> Column:
@@ -103,9 +104,7 @@ def char_wb_ngrams(text: Column, low: int, high: int, lowercase: bool = True) ->
     def grams(padded: Column) -> Column:
         parts = []
         for n in range(low, high + 1):
-            whole = F.transform(
-                positions(F.length(padded) - (n - 1)), lambda i, n=n: F.substring(padded, i, n)
-            )
+            whole = slices(padded, n)
             if n == low:
                 whole = F.when(F.length(padded) < n, F.array(padded)).otherwise(whole)
             parts.append(whole)

@@ -10,7 +10,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textspark.functions.arrays import cosine, dot, norm2, positions, unit
+from textspark.functions.arrays import cosine, dot, norm2, unit
+from textspark.functions.tokens import slices
 from textspark.operators.sampling import sample_rows
 from textspark.plans.ranking import top_k_per_group
 from textspark.plans.skew import heavy_keys, lookup_join
@@ -196,12 +197,7 @@ def coverage(words: DataFrame, embeddings: DataFrame) -> DataFrame:
 def subwords(word: Column, low: int = 3, high: int = 6) -> Column:
     """Character n-grams of <word>, the padding signs included."""
     padded = F.concat(F.lit("<"), word, F.lit(">"))
-    return F.concat(
-        *[
-            F.transform(positions(F.length(padded) - (n - 1)), lambda i, n=n: F.substring(padded, i, n))
-            for n in range(low, high + 1)
-        ]
-    )
+    return F.concat(*[slices(padded, n) for n in range(low, high + 1)])
 
 
 def subword_bucket(gram: Column, n_buckets: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -18,14 +18,9 @@ def bag_of_words(df: DataFrame, key: str, tokens: Column) -> DataFrame:
     return df.select(key, F.inline(value_counts(tokens)).alias("term", "n"))
 
 
-def without(tokens: Column, stopwords: Column) -> Column:
-    """Tokens minus a small array of stop words, applied before any n-grams are built."""
-    return F.filter(tokens, lambda t: ~F.array_contains(stopwords, t))
-
-
-def stopword_array(stopwords: DataFrame) -> Column:
-    """A bounded (term) frame, such as a top-20 report, as one array usable in any expression."""
-    return stopwords.agg(F.sort_array(F.collect_list("term"))).scalar()
+def without(tokens: Column, stopwords: Sequence[str]) -> Column:
+    """Tokens minus a short list of stop words, applied before any n-grams are built."""
+    return F.filter(tokens, lambda t: ~t.isin(list(stopwords))) if stopwords else tokens
 
 
 def term_stats(bow: DataFrame) -> DataFrame:
@@ -113,15 +108,14 @@ def stack(spaces: Mapping[str, DataFrame]) -> DataFrame:
 
 def per_column(df: DataFrame, key: str, columns: Mapping[str, Column]) -> DataFrame:
     """One bag of words per column in a single pass, features named "term (column)"."""
-    bags = [
-        F.transform(
-            value_counts(tokens),
-            lambda e, name=name: F.struct(
-                F.concat(e["term"], F.lit(f" ({name})")).alias("term"), e["n"].alias("n")
-            ),
+
+    def named(tokens: Column, name: str) -> Column:
+        feature = F.lit(f" ({name})")
+        return F.transform(
+            value_counts(tokens), lambda e: F.struct(F.concat(e["term"], feature).alias("term"), e["n"].alias("n"))
         )
-        for name, tokens in columns.items()
-    ]
+
+    bags = [named(tokens, name) for name, tokens in columns.items()]
     return df.select(key, F.inline(F.concat(*bags)).alias("term", "n"))
 
 
