@@ -93,8 +93,9 @@ def sentence_ngrams(spark, sf):
 @query(
     "char_ngrams",
     rf"""WITH t AS (SELECT doc_id, string_split(regexp_replace(lower(text), '{WS}{{2,}}', ' ', 'g'), '') AS s FROM documents),
-    g AS (SELECT doc_id, unnest(list_transform(generate_series(1, len(s) - 3),
-      lambda i: array_to_string(s[i:i + 3], ''))) AS term FROM t)
+    c AS (SELECT doc_id, unnest(s) AS c, generate_subscripts(s, 1) AS pos FROM t),
+    g AS (SELECT doc_id, c || lead(c, 1) OVER w || lead(c, 2) OVER w || lead(c, 3) OVER w AS term FROM c
+      WINDOW w AS (PARTITION BY doc_id ORDER BY pos) QUALIFY term IS NOT NULL)
     SELECT term, count(DISTINCT doc_id) AS df, count(*) AS total FROM g GROUP BY term""",
 )
 def char_ngrams(spark, sf):
