@@ -158,8 +158,9 @@ def pool_concat(spark, sf):
 def doc_vectors(spark, sf):
     docs = documents(spark, sf)
     bow = sparse.bag_of_words(docs, "doc_id", tokens.word_tokens(F.col("text")))
-    weights = sparse.tfidf(bow, sparse.term_stats(bow), n_docs(spark, sf)).toDF("doc_id", "word", "weight")
-    vectors = dense.document_vectors(weights, word_vectors(spark, sf), docs, "doc_id")
+    idf = sparse.with_idf(sparse.term_stats(bow), n_docs(spark, sf))
+    scaled = dense.scale_vectors(word_vectors(spark, sf), idf.select(F.col("term").alias("word"), F.col("idf").alias("weight")))
+    vectors = dense.document_vectors(bow.toDF("doc_id", "word", "weight"), scaled, docs, "doc_id")
     return _exploded(vectors, "doc_id", value="vector")
 
 
@@ -214,7 +215,7 @@ def emb_word_sample(spark, sf):
     return dense.frequent_known_words(counts.toDF("word", "n"), word_vectors(spark, sf), 10, 100, seed=3)
 
 
-EPS, MIN_SAMPLES = 0.12, 4
+EPS, MIN_SAMPLES = 0.02, 4
 
 
 @query(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
-_MODULES = ("columns", "cleaning", "tokenizing", "phrasing", "sparse", "dense", "statistics")
+_MODULES = ("columns", "cleaning", "tokenizing", "phrasing", "sparse", "dense", "statistics", "ingest", "models")
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:

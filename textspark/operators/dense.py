@@ -154,6 +154,17 @@ def pool(weights: DataFrame, embeddings: DataFrame, key: str, how: Sequence[str]
     return joined.groupBy(key).agg(*[F.array(*[make[h](i) for i in range(dims)]).alias(h) for h in how])
 
 
+def scale_vectors(embeddings: DataFrame, weights: DataFrame) -> DataFrame:
+    """Embeddings multiplied by a per-word weight (word, weight); words without one are left out.
+
+    A weight that depends on the word alone, such as idf, is best folded in here: this join has one row per
+    word, and the document table then needs a single join.
+    """
+    return embeddings.join(weights, "word").select(
+        "word", F.transform("embedding", lambda x: x.cast("double") * F.col("weight")).alias("embedding")
+    )
+
+
 def document_vectors(
     weights: DataFrame, embeddings: DataFrame, documents: DataFrame, key: str, norm: str | bool | None = "l2"
 ) -> DataFrame:
