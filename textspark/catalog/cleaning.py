@@ -169,7 +169,7 @@ def plural_lemmas(spark, sf):
     stems = words.filter(F.endswith("term", F.lit("s")) & (F.length("term") > 3)).select(
         F.col("term").alias("entry"), F.expr("substring(term, 1, length(term) - 1)").alias("term")
     )
-    return stems.join(words, "term").select("entry", F.col("term").alias("replacement"))
+    return durable(stems.join(words, "term").select("entry", F.col("term").alias("replacement")))
 
 
 @query(

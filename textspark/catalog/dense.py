@@ -158,7 +158,7 @@ def pool_concat(spark, sf):
 def doc_vectors(spark, sf):
     docs = documents(spark, sf)
     bow = sparse.bag_of_words(docs, "doc_id", tokens.word_tokens(F.col("text")))
-    idf = sparse.with_idf(sparse.term_stats(bow), n_docs(spark, sf))
+    idf = sparse.with_idf(sparse.fit_terms(bow), n_docs(spark, sf))
     scaled = dense.scale_vectors(word_vectors(spark, sf), idf.select(F.col("term").alias("word"), F.col("idf").alias("weight")))
     vectors = dense.document_vectors(bow.toDF("doc_id", "word", "weight"), scaled, docs, "doc_id")
     return _exploded(vectors, "doc_id", value="vector")

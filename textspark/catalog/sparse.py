@@ -30,7 +30,7 @@ def n_docs(spark, sf):
 
 def tfidf_of(spark, sf):
     bow = bow_of(spark, sf)
-    return sparse.tfidf(bow, sparse.term_stats(bow), n_docs(spark, sf))
+    return sparse.tfidf(bow, sparse.fit_terms(bow), n_docs(spark, sf))
 
 
 @query("bow", f"WITH {BOW_SQL} SELECT doc_id, term, n FROM bow")
@@ -74,7 +74,7 @@ _PRUNED = f"pruned AS (SELECT term, df, total FROM stats WHERE df >= 3 AND df <=
 @query("df_prune", f"WITH {BOW_SQL}, {STATS_SQL}, {_PRUNED} SELECT doc_id, term, n FROM bow SEMI JOIN pruned USING (term)")
 def df_prune(spark, sf):
     bow = bow_of(spark, sf)
-    stats = sparse.term_stats(bow)
+    stats = sparse.fit_terms(bow)
     kept = sparse.prune(stats, n_docs(spark, sf), 3, 0.5)
     return lookup_join(bow, kept.select("term"), ["term"], heavy_keys(stats, ["term"], "df"))
 
@@ -185,7 +185,7 @@ def bow_wide(spark, sf):
 )
 def doc_terms(spark, sf):
     """Non-zero features of every unseen text under the fitted weights."""
-    stats = sparse.term_stats(bow_of(spark, sf))
+    stats = sparse.fit_terms(bow_of(spark, sf))
     return sparse.tfidf(_new_bow(spark, sf), stats, n_docs(spark, sf)).withColumn("value", r6("value"))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from textspark.functions import patterns
-from textspark.functions.arrays import bind, positions
+from textspark.functions.arrays import bind
 from textspark.functions.clean import strip
 
 Tokenizer = Callable[[Column], Column]
@@ -66,14 +66,24 @@ def locale_sentences(text: Column) -> Column:
 
 
 def word_ngrams(tokens: Column, low: int, high: int, joiner: str = " ") -> Column:
-    """Adjacent word n-grams of every size from low to high."""
+    """Adjacent word n-grams of every size from low to high.
 
-    def of_size(t: Column, n: int) -> Column:
-        if n == 1:
-            return t
-        return F.transform(positions(F.size(t) - (n - 1)), lambda i: F.array_join(F.slice(t, i, n), joiner))
+    Each size grows from the previous one by the word that follows, one concatenation per n-gram.
+    """
 
-    return bind(tokens, lambda t: F.concat(*[of_size(t, n) for n in range(low, high + 1)]))
+    def grow(t: Column) -> Column:
+        grams, sizes = t, []
+        for n in range(1, high + 1):
+            if n > 1:
+                left = F.greatest(F.size(t) - (n - 1), F.lit(0))
+                grams = F.zip_with(
+                    F.slice(grams, 1, left), F.slice(t, n, left), lambda a, b: F.concat(a, F.lit(joiner), b)
+                )
+            if n >= low:
+                sizes.append(grams)
+        return F.concat(*sizes)
+
+    return bind(tokens, grow)
 
 
 def sentence_ngrams(text: Column, tokenizer: Tokenizer, low: int, high: int, joiner: str = " ") -> Column:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from textspark.functions.arrays import cosine, dot, norm2, unit
 from textspark.functions.tokens import slices
 from textspark.operators.sampling import sample_rows
+from textspark.plans.lineage import durable
 from textspark.plans.ranking import top_k_per_group
 from textspark.plans.skew import heavy_keys, lookup_join
 
@@ -130,8 +131,13 @@ def weighted_vectors(
 ) -> DataFrame:
     """Joins (key, word, weight) to the embeddings: the hot words by a bounded broadcast, the rest shuffled."""
     dims = dims or dimensions(embeddings)
-    return lookup_join(weights.select(key, "word", "weight"), embeddings.select("word", "embedding"), ["word"],
-                       _hot_words(weights, dims))
+    return lookup_join(
+        weights.select(key, "word", "weight"),
+        embeddings.select("word", "embedding"),
+        ["word"],
+        _hot_words(weights, dims),
+        row_bytes=8 * dims + 64,
+    )
 
 
 def _cell(i: int) -> Column:
@@ -160,13 +166,18 @@ def scale_vectors(embeddings: DataFrame, weights: DataFrame) -> DataFrame:
     A weight that depends on the word alone, such as idf, is best folded in here: this join has one row per
     word, and the document table then needs a single join.
     """
-    return embeddings.join(weights, "word").select(
+    scaled = embeddings.join(weights, "word").select(
         "word", F.transform("embedding", lambda x: x.cast("double") * F.col("weight")).alias("embedding")
     )
+    return durable(scaled)
 
 
 def document_vectors(
-    weights: DataFrame, embeddings: DataFrame, documents: DataFrame, key: str, norm: str | bool | None = "l2"
+    weights: DataFrame,
+    embeddings: DataFrame,
+    documents: DataFrame,
+    key: str,
+    norm: str | bool | None = "l2",
 ) -> DataFrame:
     """(key, vector): term weights times term vectors, rows normalised; a zero vector without known terms.
 

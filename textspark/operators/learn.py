@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark import StorageLevel
+from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.classification import LinearSVC, LogisticRegression, OneVsRest
 from pyspark.ml.feature import (
     CountVectorizer,
@@ -16,6 +17,7 @@ from pyspark.ml.feature import (
     StringIndexer,
     StringIndexerModel,
     Word2Vec,
+    Word2VecModel,
 )
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -81,9 +83,22 @@ def linear_svm(n_rows: int, max_iter: int = 50) -> OneVsRest:
 def text_classifier(
     train: DataFrame, cleaning: Sequence, features: Sequence, classifier, label: str = "label"
 ) -> PipelineModel:
-    """Fits cleaning, features, label index and classifier in one pipeline; predicts raw text afterwards."""
-    model = Pipeline(stages=[*cleaning, *features, label_indexer(label), classifier]).fit(train)
-    return check_vocabulary(model)
+    """Fits cleaning, features, label index and classifier in one pipeline; predicts raw text afterwards.
+
+    Stages are fitted in order. Once the text has become count vectors these are kept, so the later
+    estimators and every pass of the optimiser start from them and not from the text.
+    """
+    fitted, current, kept = [], train, None
+    for stage in [*cleaning, *features, label_indexer(label), classifier]:
+        model = stage.fit(current) if isinstance(stage, Estimator) else stage
+        fitted.append(model)
+        if model is not classifier:
+            current = model.transform(current)
+        if isinstance(model, (CountVectorizerModel, Word2VecModel)):
+            kept = current = current.select(label, model.getOutputCol()).persist(StorageLevel.MEMORY_AND_DISK)
+    if kept is not None:
+        kept.unpersist()
+    return check_vocabulary(PipelineModel(fitted))
 
 
 def embedding_stages(token_col: str, size: int, min_count: int, seed: int = 0, partitions: int = 1) -> list:
@@ -152,6 +167,7 @@ def explain_linear(
     """
     idf = fitted_idf(model, df)
     bow = bag_of_words(df, key, tokens)
+    # Both lookup tables come from the model on the driver, so their size is known to be small.
     heavy = heavy_keys(bow.groupBy("term").agg(F.count("*").alias("_n")), ["term"], "_n")
     cells = lookup_join(bow, idf, ["term"], heavy).withColumn("value", F.col("n") * F.col("idf"))
     values = normalize(cells.select(key, "term", "value"), key, "l2")

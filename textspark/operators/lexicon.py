@@ -22,8 +22,7 @@ def rewrite_tokens(
 ) -> DataFrame:
     """Replaces `token` by the lexicon's `replacement` where on(token) equals `entry`; others stay.
 
-    `lexicon` is unique on entry. A few words own most of the rows, so the replacements of the heavy ones
-    (a bounded list) are broadcast and only the tail of the corpus is shuffled to meet the rest.
+    `lexicon` is materialised and unique on entry.
     """
     keyed = rows.withColumn("entry", on(F.col("token")))
     heavy = heavy_keys(keyed.groupBy("entry").agg(F.count("*").alias("_n")), ["entry"], "_n")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.mllib.linalg import Matrices
 from pyspark.mllib.linalg.distributed import IndexedRowMatrix
 from pyspark.mllib.util import MLUtils
@@ -16,9 +17,11 @@ def svd_project(df: DataFrame, key: str, k: int, features: str = "features", uni
     The matrix is not centred. Only the terms x k factor is held in one place; each component's sign is
     fixed so that its largest absolute entry is positive.
     """
-    rows = MLUtils.convertVectorColumnsFromML(
-        df.select(F.col(key).cast("bigint").alias("index"), F.col(features).alias("vector")), "vector"
+    # The solver passes over the rows many times.
+    kept = df.select(F.col(key).cast("bigint").alias("index"), F.col(features).alias("vector")).persist(
+        StorageLevel.MEMORY_AND_DISK
     )
+    rows = MLUtils.convertVectorColumnsFromML(kept, "vector")
     matrix = IndexedRowMatrix(rows)
     v = matrix.computeSVD(k, computeU=False).V.toArray()
     signs = np.sign(v[np.abs(v).argmax(axis=0), np.arange(v.shape[1])])

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textspark.functions.arrays import value_counts
+from textspark.plans.lineage import durable
 from textspark.plans.ranking import row_index
 from textspark.plans.skew import heavy_keys, lookup_join
 
@@ -28,6 +29,11 @@ def term_stats(bow: DataFrame) -> DataFrame:
     return bow.groupBy("term").agg(F.count("*").alias("df"), F.sum("n").alias("total"))
 
 
+def fit_terms(bow: DataFrame) -> DataFrame:
+    """`term_stats` materialised: the fitted state of a vectoriser, one row per term, made in one pass."""
+    return durable(term_stats(bow))
+
+
 def prune(stats: DataFrame, n_docs: Column, min_df: int | float = 1, max_df: int | float = 1.0) -> DataFrame:
     """Keep terms within both bounds, ends included: ints are document counts, floats are shares."""
 
@@ -51,7 +57,7 @@ def tf(bow: DataFrame) -> DataFrame:
 
 
 def tfidf(bow: DataFrame, stats: DataFrame, n_docs: Column) -> DataFrame:
-    """(key, term, value) with value = count * idf, for terms present in `stats(term, df, ...)`."""
+    """(key, term, value) with value = count * idf, for terms present in the fitted `stats(term, df, ...)`."""
     table = with_idf(stats, n_docs)
     joined = lookup_join(bow, table.select("term", "idf"), ["term"], heavy_keys(stats, ["term"], "df"))
     return joined.withColumn("value", F.col("n") * F.col("idf")).drop("n", "idf")

@@ -2,14 +2,16 @@
 
 from textspark.plans.lineage import durable, ensure_checkpoint_dir, shared_dir
 from textspark.plans.ranking import row_index, top_k_per_group
-from textspark.plans.skew import heavy_keys, lookup_join
+from textspark.plans.skew import fits_broadcast, heavy_keys, lookup_join, split_join
 
 __all__ = [
     "durable",
     "ensure_checkpoint_dir",
+    "fits_broadcast",
     "heavy_keys",
     "lookup_join",
     "row_index",
     "shared_dir",
+    "split_join",
     "top_k_per_group",
 ]

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MAX_HEAVY = 2000
+MAX_BROADCAST_BYTES = 128 << 20
 
 
 def heavy_keys(counts: DataFrame, keys: Sequence[str], weight: str, max_keys: int = MAX_HEAVY) -> DataFrame:
@@ -16,15 +17,38 @@ def heavy_keys(counts: DataFrame, keys: Sequence[str], weight: str, max_keys: in
     return counts.filter(F.col(weight) * F.lit(max_keys) >= total).select(*keys)
 
 
+def fits_broadcast(lookup: DataFrame, row_bytes: int, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
+    """Whether a materialised lookup table is small enough to copy to every executor: its rows are counted."""
+    return lookup.count() * row_bytes <= max_bytes
+
+
 def lookup_join(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], heavy: DataFrame, how: str = "inner"
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    heavy: DataFrame,
+    how: str = "inner",
+    row_bytes: int = 64,
+    max_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
-    """Inner or left join to a lookup table unique on `keys`, with the heavy keys kept out of the shuffle.
+    """Inner or left join to a materialised lookup table that is unique on `keys`.
 
-    Rows of heavy keys meet a broadcast slice of the lookup (bounded by `heavy_keys`), so they neither move
-    nor pile up in one task. The long tail is joined the ordinary way; AQE may still broadcast it.
+    A lookup whose counted size fits is broadcast: one pass over `left`, no shuffle. Beyond that the rows of
+    the heavy keys meet a broadcast slice of the lookup (bounded by `heavy_keys`), so they neither move nor
+    pile up in one task, and the long tail is joined by shuffle.
     """
     keys = list(keys)
+    if fits_broadcast(right, row_bytes, max_bytes):
+        columns = [*left.columns, *(c for c in right.columns if c not in keys)]
+        return left.join(F.broadcast(right), keys, how).select(*columns)
+    return split_join(left, right, keys, heavy, how)
+
+
+def split_join(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], heavy: DataFrame, how: str = "inner"
+) -> DataFrame:
+    """The heavy/tail half of `lookup_join`. Reads `left` twice rather than shuffling its heavy rows."""
+    keys = list(keys)
     heavy = heavy.select(*keys)
     hot = heavy.join(right, keys, how)
     cold = right.join(F.broadcast(heavy), keys, "left_anti")
