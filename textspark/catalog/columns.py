@@ -10,6 +10,7 @@ from textspark.functions import labels
 from textspark.operators.hierarchy import tree_paths
 from textspark.operators.sampling import head
 from textspark.plans import shared_dir
+from textspark.plans.union import union_rows
 from textspark.sources import pages as page_source
 from textspark.sources import posts as post_source
 
@@ -281,9 +282,9 @@ def tree_paths_query(spark, sf):
             F.concat(F.lit(prefix), F.col(key)).alias("node_id"), up.alias("parent_id"), F.col(label).alias("name")
         )
 
-    nodes = (
-        rows("region", "r", "r_regionkey", "", None, "r_name")
-        .unionByName(rows("nation", "n", "n_nationkey", "r", "n_regionkey", "n_name"))
-        .unionByName(rows("customer", "c", "c_custkey", "n", "c_nationkey", "c_name"))
+    nodes = union_rows(
+        rows("region", "r", "r_regionkey", "", None, "r_name"),
+        rows("nation", "n", "n_nationkey", "r", "n_regionkey", "n_name"),
+        rows("customer", "c", "c_custkey", "n", "c_nationkey", "c_name"),
     )
     return tree_paths(nodes, labels.allowed_name(F.col("name"), ["ASIA"], [".*Y$"]))

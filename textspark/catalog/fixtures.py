@@ -45,7 +45,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, text, lang, source; split into title (first line) and body (the rest)."""
-    raw = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"), "doc_id")
+    raw = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
     line_end = F.instr("text", "\n")
     return raw.withColumns(
         {
@@ -57,7 +57,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(read_table(spark, sf_dir, "pages"), "page_id")
+    return spread(read_table(spark, sf_dir, "pages"))
 
 
 def stop_terms(spark: SparkSession, sf_dir: str) -> DataFrame:

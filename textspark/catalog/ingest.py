@@ -8,6 +8,7 @@ from textspark.catalog.fixtures import documents, table
 from textspark.catalog.registry import query
 from textspark.functions import clean
 from textspark.plans import shared_dir
+from textspark.plans.union import union_rows
 from textspark.streaming import ingest
 
 
@@ -36,7 +37,7 @@ def ingest_once(spark, sf):
     """Every document is offered twice; the quota counts new ones only."""
     docs = table(spark, sf, "documents").select("doc_id", "lang")
     ledger = table(spark, sf, "labels").select("doc_id")
-    return ingest.ingest_once(docs.unionByName(docs), ledger, "doc_id", [F.col("doc_id")], "lang", 50)
+    return ingest.ingest_once(union_rows(docs, docs), ledger, "doc_id", [F.col("doc_id")], "lang", 50)
 
 
 @query(

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from textspark.operators.components import components
 from textspark.plans.lineage import durable
 from textspark.plans.skew import heavy_keys, lookup_join
+from textspark.plans.union import union_rows
 
 _CELL = ["cx", "cy"]
 _REACH = range(-2, 3)
@@ -113,8 +114,8 @@ def _touching(pairs: DataFrame, core: DataFrame, eps: float, side: float) -> Dat
         for p in "ab":
             direct = direct.join(placed.toDF(*[f"{p}{c}" for c in placed.columns]), [f"{p}{c}" for c in _BOX])
         checked = direct.filter(_square_distance("ax", "ay", "bx", "by") <= e2).select("a", "b")
-        hits = durable(sure.unionByName(checked).distinct())
-        found = hits if found is None else found.unionByName(hits)
+        hits = durable(union_rows(sure, checked).distinct())
+        found = hits if found is None else union_rows(found, hits)
         left = unsure.filter(~small).join(hits, ["a", "b"], "left_anti")
         if level == _MAX_LEVEL or left.isEmpty():
             return found.distinct()
@@ -149,7 +150,7 @@ def density_clusters(points: DataFrame, eps: float, min_samples: int) -> DataFra
     lonely = weighed.filter(F.col("weight") < min_samples).select(*locations.columns)
     counted = _around(lonely, locations, hot, eps).groupBy("loc").agg(F.sum("o_w").alias("_n"))
     lonely_core = lonely.join(counted.filter(F.col("_n") >= min_samples), "loc", "left_semi")
-    core = durable(crowded.unionByName(lonely_core.select(*crowded.columns)))
+    core = durable(union_rows(crowded, lonely_core.select(*crowded.columns)))
 
     nodes = durable(core.groupBy(*_CELL).agg(F.min("loc").alias("node")))
     ahead = [(i, j) for i in _REACH for j in _REACH if (i, j) > (0, 0)]
@@ -177,4 +178,4 @@ def density_clusters(points: DataFrame, eps: float, min_samples: int) -> DataFra
         lonely_core.select("x", "y", *_CELL).join(clusters, _CELL).select("x", "y", "cluster"), ["x", "y"]
     ).select("id", "cluster", F.lit(True).alias("is_core"))
     edge = rest.join(border, ["x", "y"]).select("id", "cluster", F.lit(False).alias("is_core"))
-    return inside.unionByName(alone).unionByName(edge)
+    return union_rows(inside, alone, edge)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from textspark.plans.lineage import durable
 from textspark.plans.skew import heavy_keys, lookup_join
+from textspark.plans.union import union_rows
 
 MAX_ROUNDS = 200
 
@@ -17,7 +18,9 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     Each round takes the smallest label around every node and then jumps to that label's own label, so chains
     shrink by half and more. A label shared by very many nodes is looked up from a broadcast slice.
     """
-    both = durable(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    both = durable(
+        union_rows(edges.select("a", "b"), edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
+    )
     labels = durable(nodes.select("node", F.col("node").alias("component")))
     for _ in range(MAX_ROUNDS):
         around = (

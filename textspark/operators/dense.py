@@ -16,6 +16,7 @@ from textspark.operators.sampling import sample_rows
 from textspark.plans.lineage import durable
 from textspark.plans.ranking import top_k_per_group
 from textspark.plans.skew import heavy_keys, lookup_join
+from textspark.plans.union import union_rows
 
 # A broadcast slice of hot words stays near this many bytes whatever the embedding width.
 _HOT_BYTES = 32 << 20
@@ -116,7 +117,7 @@ def neighbourhoods(embeddings: DataFrame, seeds: Sequence[str], k: int = 50) ->
     near = most_similar(embeddings, seeds, k).join(
         F.broadcast(listed.withColumnRenamed("word", "query")), "query"
     )
-    return seed_rows.unionByName(
+    return union_rows(seed_rows, 
         near.select("grp", "word", "rank", "similarity", F.lit(True).alias("found"))
     )
 
@@ -188,7 +189,7 @@ def document_vectors(
         key, *[(F.col("weight") * _cell(i)).alias(f"_{i}") for i in range(dims)]
     )
     blank = documents.select(key, *[F.lit(0.0).alias(f"_{i}") for i in range(dims)])
-    sums = joined.unionByName(blank).groupBy(key).agg(
+    sums = union_rows(joined, blank).groupBy(key).agg(
         F.array(*[F.sum(f"_{i}") for i in range(dims)]).alias("vector")
     )
     if not norm:

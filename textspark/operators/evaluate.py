@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from textspark.plans.union import union_rows
 
 
 def pair_counts(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -58,7 +59,7 @@ def class_report(df: DataFrame, label: str = "label", prediction: str = "predict
         F.sum("support").alias("support"),
     ).withColumn("cls", F.lit("weighted avg"))
     columns = ["cls", *scores, "support"]
-    return per.select(*columns).unionByName(macro.select(*columns)).unionByName(weighted.select(*columns))
+    return union_rows(*[rows.select(*columns) for rows in (per, macro, weighted)])
 
 
 def confusion(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from textspark.functions.labels import PATH_SEPARATOR
 from textspark.plans.lineage import durable
+from textspark.plans.union import union_rows
 
 
 def tree_paths(nodes: DataFrame, allowed: Column | None = None, max_depth: int = 1000) -> DataFrame:
@@ -32,5 +33,5 @@ def tree_paths(nodes: DataFrame, allowed: Column | None = None, max_depth: int =
         )
         if level.isEmpty():
             return found
-        found = found.unionByName(level)
+        found = union_rows(found, level)
     raise RuntimeError(f"the tree is deeper than {max_depth} levels, or has a cycle")

@@ -27,6 +27,7 @@ from textspark.operators.sparse import bag_of_words, normalize
 from textspark.plans.ranking import top_k_per_group
 from textspark.plans.skew import heavy_keys, lookup_join
 from textspark.plans.stages import SmoothIdf, TokenStage
+from textspark.plans.union import union_rows
 
 BIAS = "<BIAS>"
 # The vocabulary of a linear model lives on the driver; fitting fails rather than drop terms beyond this.
@@ -182,7 +183,7 @@ def explain_linear(
     biases = weights.filter(F.col("term") == BIAS).select("label", "term", "weight")
     per_class = biases.agg(F.collect_list(F.struct("label", "term", F.col("weight").alias("contribution")))).scalar()
     bias = df.select(key, F.inline(per_class))
-    everything = terms.unionByName(bias)
+    everything = union_rows(terms, bias)
     scores = everything.groupBy(key, "label").agg(F.sum("contribution").alias("score"))
     best = top_k_per_group(scores, [key], [F.desc("score"), F.col("label")], top_classes)
     return everything.join(best.select(key, "label"), [key, "label"], "left_semi")

@@ -12,6 +12,7 @@ from textspark.functions.arrays import value_counts
 from textspark.plans.lineage import durable
 from textspark.plans.ranking import row_index
 from textspark.plans.skew import heavy_keys, lookup_join
+from textspark.plans.union import union_rows
 
 
 def bag_of_words(df: DataFrame, key: str, tokens: Column) -> DataFrame:
@@ -105,11 +106,7 @@ class Vocabulary:
 
 def stack(spaces: Mapping[str, DataFrame]) -> DataFrame:
     """Representations side by side: the union of long forms, each under its own space name."""
-    frames = [rows.withColumn("space", F.lit(name)) for name, rows in spaces.items()]
-    out = frames[0]
-    for rows in frames[1:]:
-        out = out.unionByName(rows)
-    return out
+    return union_rows(*[rows.withColumn("space", F.lit(name)) for name, rows in spaces.items()])
 
 
 def per_column(df: DataFrame, key: str, columns: Mapping[str, Column]) -> DataFrame:

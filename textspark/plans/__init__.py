@@ -3,6 +3,7 @@
 from textspark.plans.lineage import durable, ensure_checkpoint_dir, shared_dir
 from textspark.plans.ranking import row_index, top_k_per_group
 from textspark.plans.skew import fits_broadcast, heavy_keys, lookup_join, split_join
+from textspark.plans.union import union_rows
 
 __all__ = [
     "durable",
@@ -14,4 +15,5 @@ __all__ = [
     "shared_dir",
     "split_join",
     "top_k_per_group",
+    "union_rows",
 ]

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from textspark.plans.union import union_rows
 
 MAX_HEAVY = 2000
 MAX_BROADCAST_BYTES = 128 << 20
@@ -55,4 +56,4 @@ def split_join(
     columns = [*left.columns, *(c for c in right.columns if c not in keys)]
     near = left.join(F.broadcast(hot), keys).select(*columns)
     far = left.join(F.broadcast(heavy), keys, "left_anti").join(cold, keys, how).select(*columns)
-    return near.unionByName(far)
+    return union_rows(near, far)

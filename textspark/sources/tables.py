@@ -9,10 +9,11 @@ def read_table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
+def spread(df: DataFrame) -> DataFrame:
     """Spreads a table kept in fewer files than there are cores, so one scan task does not do all the work.
 
-    A row group is read by one task. Large tables have many files and are left where they are.
+    A row group is read by one task. Large tables have many files and are left where they are. The rows are
+    dealt out evenly, not by key, so one large text or key cannot crowd a partition.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if len(df.inputFiles()) < cores else df
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
