@@ -5,7 +5,7 @@ Embedding tables have the columns (word string, embedding array<float>), unique
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +20,8 @@ from textspark.plans.union import union_rows
 
 # A broadcast slice of hot words stays near this many bytes whatever the embedding width.
 _HOT_BYTES = 32 << 20
+# Vector places per aggregation row.
+_CHUNK = 16
 
 
 def dimensions(embeddings: DataFrame) -> int:
@@ -141,24 +143,43 @@ def weighted_vectors(
     )
 
 
-def _cell(i: int) -> Column:
-    return F.get("embedding", F.lit(i)).cast("double")
+def _dimension_sums(rows: DataFrame, key: str, vector: str, dims: int, how: dict[str, Callable[[Column], Column]]) -> DataFrame:
+    """One array per entry of `how`, aggregated dimension by dimension over the rows of a key.
+
+    A vector is cut into short chunks and every place of a chunk is its own aggregate buffer, so partial
+    vectors are combined map-side and no (key, dimension) rows are shuffled. Few buffers per aggregation keep
+    the generated code small enough for the JVM to compile, however long the vectors are.
+    """
+    starts = range(0, dims, _CHUNK)
+    chunks = F.posexplode(F.array(*[F.slice(vector, s + 1, _CHUNK) for s in starts])).alias("_c", "_v")
+    carried = [c for c in rows.columns if c not in (key, vector)]
+    parts = rows.select(key, *carried, chunks).groupBy(key, "_c")
+    sums = parts.agg(
+        *[F.array(*[fn(F.get("_v", F.lit(i))) for i in range(min(_CHUNK, dims))]).alias(name) for name, fn in how.items()]
+    )
+    ordered = {name: F.sort_array(F.collect_list(F.struct("_c", F.col(name).alias("v")))) for name in how}
+    whole = sums.groupBy(key).agg(*[c.alias(name) for name, c in ordered.items()])
+    # The last chunk may be short; its unused places are cut off.
+    return whole.select(
+        key, *[F.slice(F.flatten(F.transform(name, lambda c: c["v"])), 1, dims).alias(name) for name in how]
+    )
 
 
-def pool(weights: DataFrame, embeddings: DataFrame, key: str, how: Sequence[str]) -> DataFrame:
+def pool(
+    weights: DataFrame, embeddings: DataFrame, key: str, how: Sequence[str], dims: int | None = None
+) -> DataFrame:
     """One column per pooling of "sum", "max", "min": a vector per document over its known words.
 
-    Every dimension is its own aggregate buffer, so partial vectors are combined map-side and no
-    (document, dimension) rows are ever shuffled. Documents without a known word are absent.
+    Documents without a known word are absent.
     """
-    dims = dimensions(embeddings)
-    joined = weighted_vectors(weights, embeddings, key, dims)
+    dims = dims or dimensions(embeddings)
+    joined = weighted_vectors(weights, embeddings, key, dims).select(key, "weight", "embedding")
     make = {
-        "sum": lambda i: F.sum(F.col("weight") * _cell(i)),
-        "max": lambda i: F.max(_cell(i)),
-        "min": lambda i: F.min(_cell(i)),
+        "sum": lambda x: F.sum(F.col("weight") * x.cast("double")),
+        "max": lambda x: F.max(x.cast("double")),
+        "min": lambda x: F.min(x.cast("double")),
     }
-    return joined.groupBy(key).agg(*[F.array(*[make[h](i) for i in range(dims)]).alias(h) for h in how])
+    return _dimension_sums(joined, key, "embedding", dims, {h: make[h] for h in how})
 
 
 def scale_vectors(embeddings: DataFrame, weights: DataFrame) -> DataFrame:
@@ -186,11 +207,12 @@ def document_vectors(
     """
     dims = dimensions(embeddings)
     joined = weighted_vectors(weights, embeddings, key, dims).select(
-        key, *[(F.col("weight") * _cell(i)).alias(f"_{i}") for i in range(dims)]
+        key, F.col("weight").cast("double").alias("weight"), F.col("embedding").cast("array<double>").alias("vector")
     )
-    blank = documents.select(key, *[F.lit(0.0).alias(f"_{i}") for i in range(dims)])
-    sums = union_rows(joined, blank).groupBy(key).agg(
-        F.array(*[F.sum(f"_{i}") for i in range(dims)]).alias("vector")
+    zero = F.array_repeat(F.lit(0.0), dims)
+    blank = documents.select(key, F.lit(1.0).alias("weight"), zero.alias("vector"))
+    sums = _dimension_sums(
+        union_rows(joined, blank), key, "vector", dims, {"vector": lambda x: F.sum(F.col("weight") * x)}
     )
     if not norm:
         return sums
@@ -235,9 +257,8 @@ def unseen_word_vectors(words: DataFrame, buckets: DataFrame, low: int = 3, high
     grams = words.select("word", F.explode(subwords(F.col("word"), low, high)).alias("gram")).select(
         "word", subword_bucket(F.col("gram"), n_buckets).alias("bucket")
     )
-    return grams.join(buckets, "bucket").groupBy("word").agg(
-        F.array(*[F.avg(_cell(i)) for i in range(dims)]).alias("vector")
-    )
+    cells = grams.join(buckets.select("bucket", "embedding"), "bucket").select("word", "embedding")
+    return _dimension_sums(cells, "word", "embedding", dims, {"vector": lambda x: F.avg(x.cast("double"))})
 
 
 def frequent_known_words(
