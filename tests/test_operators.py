@@ -161,7 +161,7 @@ def test_phrases_apply_like_a_greedy_scan(spark):
     rng = random.Random(5)
     sents = [[rng.choice("a b c d of the".split()) for _ in range(rng.randint(0, 14))] for _ in range(400)]
     accepted = {("a", "b"), ("b", "c"), ("c", "of", "d"), ("a", "a"), ("d", "the", "of", "a"), ("b", "b")}
-    table = spark.createDataFrame([(phrases.JOINT.join(p), p[0], p[-1]) for p in accepted], "span string, a string, b string")
+    table = spark.createDataFrame([(phrases.JOINT.join(p), p[0], p[-1], 9) for p in accepted], "span string, a string, b string, n bigint")
     df = spark.createDataFrame([(i, 0, s) for i, s in enumerate(sents)], "id bigint, sent int, tokens array<string>")
     got = phrases.apply_phrases(df, "id", table, COMMON).orderBy("id").collect()
     shown = [[t.replace(phrases.JOINT, "_") for t in r.tokens] for r in got]

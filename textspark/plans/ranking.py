@@ -67,7 +67,8 @@ def top_k_per_group(
     rank over slices of the group does the trimming, so the final task sees at most k rows per slice.
     """
     if k > _GROUP_LIMIT:
-        slice_no = F.pmod(F.xxhash64(*df.columns), F.lit(_SLICES))
+        # The partition number keeps equal rows of different partitions out of one slice.
+        slice_no = F.pmod(F.xxhash64(*df.columns, F.spark_partition_id()), F.lit(_SLICES))
         inner = Window.partitionBy(*keys, "_slice").orderBy(*order)
         df = (
             df.withColumn("_slice", slice_no)
