@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from textspark.catalog.fixtures import (
-    ALNUM, VECTORS_SQL, W, documents, r6, s6, table, word_vectors, words_ranked,
+    ALNUM, VECTORS_SQL, documents, r6, s6, table, word_vectors, words_ranked,
 )
 from textspark.catalog.registry import query
 from textspark.catalog.sparse import TFIDF_SQL, n_docs
