@@ -13,8 +13,8 @@ def union_rows(*frames: DataFrame) -> DataFrame:
     """All rows of frames with the same columns.
 
     Spark 4.1 lets a union of equally hash-partitioned inputs pass for hash-partitioned itself and then groups
-    it without a shuffle. With adaptive execution changing one input's partitions, groups came out split and
-    results wrong (seen with scores of two branches under a semi join), so that shortcut is turned off.
+    it without a shuffle. Results were seen to be wrong with it (sums over two branches under a semi join) and
+    right without it; the cause was not traced, so the shortcut is turned off.
     """
     frames[0].sparkSession.conf.set(UNION_PARTITIONING, "false")
     return reduce(lambda a, b: a.unionByName(b), frames)
