@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from textspark.llm.contamination import contaminated
 from textspark.llm.near import near_duplicates
 from textspark.llm.queries import query
 from textspark.sources.tables import read_table
@@ -34,3 +35,24 @@ FROM documents d JOIN reach r ON r.a = d.doc_id LEFT JOIN sizes s ON s.doc_id =
 @query("op5_minhash_near_dedup", NEAR_SQL)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+CONTAINED_SQL = f"""
+WITH parts AS (
+  SELECT 'd' AS kind, doc_id AS id, {FOLDED_WORDS} AS w FROM documents UNION ALL SELECT 'i', item_id, {FOLDED_WORDS} FROM benchmark),
+cells AS (
+  SELECT DISTINCT kind, id, shingle FROM (
+    SELECT kind, id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+      ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' ')) END AS s FROM parts), UNNEST(s) AS u(shingle)),
+sizes AS (SELECT id, count(*) AS n FROM cells WHERE kind = 'i' GROUP BY 1),
+pairs AS (
+  SELECT d.id AS doc_id, i.id AS item_id, count(*) AS n_shared FROM cells d JOIN cells i ON d.shingle = i.shingle
+  WHERE d.kind = 'd' AND i.kind = 'i' GROUP BY 1, 2)
+SELECT doc_id, item_id, n AS n_item, n_shared, n_shared / n AS containment
+FROM pairs JOIN sizes ON id = item_id WHERE n_shared >= 0.5 * n
+"""
+
+
+@query("op4_benchmark_decontamination", CONTAINED_SQL)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
