@@ -1,14 +1,20 @@
-"""Queries that look at each text: encoding."""
+"""Queries that look at each text: quality, encoding."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 from textspark.llm.encoding import encoding_report
+from textspark.llm.quality import quality_scores
 from textspark.llm.queries import query
 from textspark.sources.tables import read_table
 
 
+@query("op3_quality_classifier")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 @query("op7_sentencepiece")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding_report(read_table(spark, sf_dir, "documents"))
