@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from textspark.llm.contamination import contaminated
+from textspark.llm.debruijn import without_repeats
 from textspark.llm.near import near_duplicates
 from textspark.llm.queries import query
 from textspark.sources.tables import read_table
@@ -56,3 +57,27 @@ FROM pairs JOIN sizes ON id = item_id WHERE n_shared >= 0.5 * n
 @query("op4_benchmark_decontamination", CONTAINED_SQL)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def _covered_sql(length: int) -> str:
+    return f"""
+WITH words AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+windows AS (
+  SELECT doc_id, i, array_to_string(w[i:i + {length - 1}], ' ') AS win
+  FROM words, UNNEST(range(1, len(w) - {length - 2})) AS u(i)),
+covered AS (
+  SELECT DISTINCT doc_id, j FROM (
+    SELECT doc_id, i, min(doc_id) OVER (PARTITION BY win) AS first FROM windows), UNNEST(range(i, i + {length})) AS u(j) WHERE first < doc_id),
+cut AS (SELECT doc_id, list(j) AS js FROM covered GROUP BY 1),
+kept AS (
+  SELECT doc_id, len(w) AS n_words, coalesce(len(js), 0) AS n_removed,
+    list_transform(list_filter(range(1, len(w) + 1), lambda x: NOT list_contains(coalesce(js, []), x)), lambda x: w[x]) AS k
+  FROM words LEFT JOIN cut USING (doc_id))
+SELECT doc_id, n_words, n_removed, sha256(array_to_string(k, ' ')) AS kept_sha256 FROM kept
+"""
+
+
+@query("op6_substring_dedup", _covered_sql(13))
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = without_repeats(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_words", "n_removed", "kept_sha256")
