@@ -8,6 +8,7 @@ from textspark.llm.contamination import contaminated
 from textspark.llm.debruijn import without_repeats
 from textspark.llm.near import near_duplicates
 from textspark.llm.queries import query
+from textspark.llm.suffixes import without_passages
 from textspark.sources.tables import read_table
 
 #: Words of a text in DuckDB: A-Z folded, cut at the six ASCII blanks.
@@ -81,3 +82,9 @@ SELECT doc_id, n_words, n_removed, sha256(array_to_string(k, ' ')) AS kept_sha25
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = without_repeats(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@query("op8_suffix_array_dedup", _covered_sql(50))
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = without_passages(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_words", "n_removed", "kept_sha256")
