@@ -26,5 +26,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def load_all() -> None:
+    """Imports every module that registers queries, the pipeline at the repository's top last."""
     for module in _MODULES:
         importlib.import_module(f"textspark.llm.{module}")
+    importlib.import_module("corpus_pipeline")
