@@ -8,8 +8,9 @@ at least 30, and links are confirmed on the whole sets.
 Prefix: of its 64 lists a document is looked for only in the 64 - 30 + 1 = 35 shortest, since two documents that agree
 in 30 meet in one of those. Skip: the longest lists, made by passages that a crowd of documents shares, are never
 merged; they only count when two signatures are laid side by side. Exact copies are one node from the start. Each list
-is first linked to its hub, the document with the longest lists of all; what still lies in different components is then
-compared in blocks, so a list of any length is merged whole and no task holds more than two blocks of it.
+is first linked to its hub, the document with the longest lists of all, then each document of a long list to its best
+partner in another component. What still lies in different components is compared in blocks, so a list of any length is
+merged whole, no task holds more than two blocks of it, and a pair is taken up in the first list it shares only.
 
 Defined results: null, empty and blank texts have an empty set and link with nothing; a document of one to four words
 has its whole sequence as its one shingle; rows of one doc_id share their links; a null doc_id gets a null component.
@@ -31,17 +32,22 @@ from textspark.operators.components import components
 SHINGLE = 5
 COORDINATES = 64
 MATCHES = 30
+WIDE = 256
+WIDE_MATCHES = 156
 BLOCK = 2000
+SMALL = 32
+# A signature is 64 whole minima and 192 single bytes, four to a number.
+PACKED = COORDINATES + (WIDE - COORDINATES) // 4
 
-_MULTIPLIERS = mix(np.arange(1, COORDINATES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
-_SHIFTS = mix(np.arange(101, COORDINATES + 101, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+_MULTIPLIERS = mix(np.arange(1, WIDE + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+_SHIFTS = mix(np.arange(1001, WIDE + 1001, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
-def signatures(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def signatures(values: np.ndarray, ends: np.ndarray, coordinates: int = COORDINATES) -> np.ndarray:
     """The minima of each set under every coordinate's hash (32 bits); sets must not be empty."""
     starts = np.concatenate([[0], ends[:-1]])
-    out = np.empty((len(ends), COORDINATES), np.uint32)
-    for i in range(COORDINATES):
+    out = np.empty((len(ends), coordinates), np.uint32)
+    for i in range(coordinates):
         hashed = ((values * _MULTIPLIERS[i] + _SHIFTS[i]) >> np.uint64(32)).astype(np.uint32)
         out[:, i] = np.minimum.reduceat(hashed, starts)
     return out
@@ -52,21 +58,23 @@ def _profiles(batch: pa.RecordBatch) -> pa.RecordBatch:
     sizes = np.diff(np.concatenate([[0], sets.ends]))
     some = np.flatnonzero(sizes)
     sums = np.zeros((2, len(sizes)), np.uint64)
-    minima = np.zeros((0, COORDINATES), np.uint32)
+    packed = np.zeros((0, PACKED), np.int32)
     if len(some):
         starts = (sets.ends - sizes)[some]
         sums[0, some] = np.add.reduceat(mix(sets.values), starts)
         sums[1, some] = np.add.reduceat(mix(sets.values ^ np.uint64(0xA5A5A5A5A5A5A5A5)), starts)
-        minima = signatures(sets.values, sets.ends[some])
+        minima = signatures(sets.values, sets.ends[some], WIDE)
+        narrow = np.ascontiguousarray(minima[:, COORDINATES:].astype(np.uint8)).view(np.int32)
+        packed = np.concatenate([minima[:, :COORDINATES].view(np.int32), narrow], axis=1)
     filled = np.zeros(len(sizes), np.int64)
-    filled[some] = COORDINATES
+    filled[some] = PACKED
     return pa.record_batch(
         [
             batch.column(0),
             pa.array(sizes, pa.int64()),
             pa.array(sums[0].view(np.int64)),
             pa.array(sums[1].view(np.int64)),
-            lists(minima.view(np.int32).ravel(), np.cumsum(filled), pa.int32()),
+            lists(packed.ravel(), np.cumsum(filled), pa.int32()),
         ],
         ["doc_id", "n_shingles", "set_a", "set_b", "signature"],
     )
@@ -88,58 +96,76 @@ def profiles(docs: DataFrame) -> DataFrame:
     )
 
 
-def _crossing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of one block pair of one list that agree in enough coordinates and lie in different components."""
-
-    def pairs(key, doc, part, comp, sig, one_block):
-        found = []
-        edges = np.flatnonzero(np.concatenate([first_of_runs(key), [True]]))
-        sizes = np.diff(edges)
-        at = np.repeat(np.arange(len(sizes)), sizes)
-        small = sizes[at] <= 32
-        for d in range(1, int(min(32, sizes.max(initial=0)))):
-            a = np.flatnonzero(small[:-d] & (at[:-d] == at[d:]) & (comp[:-d] != comp[d:]) & (one_block[:-d] | (part[:-d] != part[d:])))
-            a = a[(sig[a] == sig[a + d]).sum(axis=1) >= MATCHES]
-            found.append((doc[a], doc[a + d]))
-        for g in np.flatnonzero(sizes > 32):
-            rows = np.arange(edges[g], edges[g + 1])
-            values, counts = np.unique(comp[rows], return_counts=True)
-            for i in rows[comp[rows] != values[counts.argmax()]]:
-                other = rows[(comp[rows] != comp[i]) & (one_block[i] | (part[rows] != part[i]))]
-                other = other[(sig[other] == sig[i]).sum(axis=1) >= MATCHES]
-                found.append((np.full(len(other), doc[i]), doc[other]))
-        if not found:
-            return None
-        a, b = (np.concatenate(x) for x in zip(*found))
-        if not len(a):
-            return None
-        both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
+def _agree(sig: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Equal coordinates of the signatures a and b, of all `WIDE`; a may be one row for all b."""
+    whole = (sig[a, :COORDINATES] == sig[b, :COORDINATES]).sum(axis=-1)
+    narrow = sig.view(np.uint8)[:, 4 * COORDINATES :]
+    return whole + (narrow[a] == narrow[b]).sum(axis=-1)
+
+
+def _merged(unit, coordinate, doc, part, comp, mask, one_block, sig, best: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Row numbers of pairs in one unit that lie in different components and agree in enough coordinates.
+
+    Long units give each row outside the largest component either its best partner (`best`) or all of them.
+    """
+    found = []
+
+    def take(a, b):
+        enough = _agree(sig, a, b) >= WIDE_MATCHES
+        a, b = a[enough], b[enough]
+        # Only in the first list that both have in their prefixes.
+        shared = (sig[a, :COORDINATES] == sig[b, :COORDINATES]) & ((mask[a] & mask[b])[:, None] >> np.arange(COORDINATES, dtype=np.uint64) & np.uint64(1)).astype(bool)
+        here = shared.argmax(axis=1) == coordinate[a]
+        found.append((a[here], b[here]))
+
+    edges = np.flatnonzero(np.concatenate([first_of_runs(unit), [True]]))
+    sizes = np.diff(edges)
+    at = np.repeat(np.arange(len(sizes)), sizes)
+    small = sizes[at] <= SMALL
+    for d in range(1, int(min(SMALL, sizes.max(initial=0)))):
+        a = np.flatnonzero(small[:-d] & (at[:-d] == at[d:]) & (comp[:-d] != comp[d:]) & (one_block[:-d] | (part[:-d] != part[d:])))
+        take(a, a + d)
+    for g in np.flatnonzero(sizes > SMALL):
+        rows = np.arange(edges[g], edges[g + 1])
+        values, counts = np.unique(comp[rows], return_counts=True)
+        done = np.zeros(len(unit), bool)
+        for i in rows[comp[rows] != values[counts.argmax()]]:
+            done[i] = True
+            other = rows[(comp[rows] != comp[i]) & (one_block[i] | (part[rows] != part[i])) & ~done[rows]]
+            if best and len(other):
+                agreed = _agree(sig, np.array([i]), other)
+                j = int(agreed.argmax())
+                if agreed[j] >= WIDE_MATCHES:
+                    found.append((np.array([i]), other[j : j + 1]))
+            elif len(other):
+                take(np.full(len(other), i), other)
+    return tuple(np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, int), np.zeros(0, int))
+
+
+def _crossing(best: bool):
+    """For mapInArrow over rows sorted by unit: pairs (a, b) of documents that `_merged` finds."""
+
+    def pairs(batch: pa.RecordBatch) -> pa.RecordBatch:
+        unit, coordinate, doc, part, comp, mask, same = (np.asarray(batch.column(i)) for i in range(7))
+        sig = np.ascontiguousarray(np.asarray(batch.column(7).flatten()).reshape(-1, PACKED))
+        a, b = _merged(unit, coordinate, doc, part, comp, mask.view(np.uint64), same.astype(bool), sig, best)
+        both = np.unique(np.stack([np.minimum(doc[a], doc[b]), np.maximum(doc[a], doc[b])], axis=1), axis=0)
         return pa.record_batch([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"])
 
-    rest: list[pa.RecordBatch] = []
-
-    def parts(batch):
-        flat = np.asarray(batch.column(5).flatten()).reshape(-1, COORDINATES)
-        cols = [np.asarray(batch.column(i)) for i in range(5)]
-        return (*cols[:4], flat, cols[4].astype(bool))
-
-    for batch in batches:
-        rest.append(batch)
-        joined = pa.Table.from_batches(rest).combine_chunks().to_batches()[0]
-        key = np.asarray(joined.column(0))
-        earlier = np.flatnonzero(key != key[-1])
-        last = int(earlier[-1]) + 1 if len(earlier) else 0
-        if last:
-            out = pairs(*parts(joined.slice(0, last)))
-            if out is not None:
-                yield out
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest: list[pa.RecordBatch] = []
+        for batch in batches:
+            joined = pa.Table.from_batches([*rest, batch]).combine_chunks().to_batches()[0]
+            unit = np.asarray(joined.column(0))
+            earlier = np.flatnonzero(unit != unit[-1])
+            last = int(earlier[-1]) + 1 if len(earlier) else 0
+            if last:
+                yield pairs(joined.slice(0, last))
             rest = [joined.slice(last)]
-        else:
-            rest = [joined]
-    if rest:
-        out = pairs(*parts(rest[0]))
-        if out is not None:
-            yield out
+        if rest and rest[0].num_rows:
+            yield pairs(rest[0])
+
+    return run
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -168,7 +194,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     classes = kept(
         known.groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("doc"), F.min("signature").alias("signature")), "classes"
     )
-    posts = classes.select("doc", F.posexplode("signature").alias("_i", "_v")).select(
+    posts = classes.select("doc", F.posexplode(F.slice("signature", 1, COORDINATES)).alias("_i", "_v")).select(
         "doc", F.shiftleft(F.col("_i").cast("long"), 32).bitwiseOR(F.col("_v").cast("long").bitwiseAND(F.lit(0xFFFFFFFF))).alias("key")
     )
     sizes = posts.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
@@ -196,44 +222,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     near_hub = stars.join(open_docs.select(F.col("doc").alias("a"), F.col("signature").alias("_sa")), "a").join(
         open_docs.select(F.col("doc").alias("b"), F.col("signature").alias("_sb")), "b"
     )
-    agreed = F.aggregate(
-        F.zip_with("_sa", "_sb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda total, x: total + x
-    )
+    whole = [F.slice(side, 1, COORDINATES) for side in ("_sa", "_sb")]
+    agreed = F.aggregate(F.zip_with(*whole, lambda x, y: (x == y).cast("int")), F.lit(0), lambda total, x: total + x)
     links = kept(_confirmed(near_hub.filter(agreed >= MATCHES).select("a", "b"), sets), "hub-links")
     grouped = _grouped(open_docs.select("doc"), links)
-    # Lists that still hold more than one component, in blocks of bounded size.
-    placed = open_docs.join(grouped, "doc").select("doc", "comp", "signature", F.explode("prefix").alias("key"))
-    unsettled = (
-        placed.groupBy("key")
-        .agg(F.min("comp").alias("_low"), F.max("comp").alias("_high"), F.count("*").alias("_n"))
-        .filter("_low < _high")
-        .select("key", F.ceil(F.col("_n") / BLOCK).cast("int").alias("blocks"))
-    )
-    own = F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int")
-    blocks = (
-        placed.join(unsettled, "key")
-        .withColumn("own", own)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select(
-            F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("unit"),
-            "doc",
-            "own",
-            "comp",
-            (F.col("own") == F.col("other")).alias("_same"),
-            "signature",
-        )
-    )
-    crossing = kept(
-        blocks.select("unit", "doc", "own", "comp", F.col("_same").cast("int").alias("same"), "signature")
-        .repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "unit")
-        .sortWithinPartitions("unit")
-        .mapInArrow(_crossing, "a long, b long")
-        .distinct(),
-        "crossing",
-    )
-    more = kept(_confirmed(crossing, sets), "crossing-links")
-    if not more.isEmpty():
-        grouped = _grouped(open_docs.select("doc"), links.unionByName(more))
+    for best in (True, False):
+        found = kept(_confirmed(_pairs(open_docs, grouped, best), sets), "links")
+        if not found.isEmpty():
+            links = links.unionByName(found)
+            grouped = _grouped(open_docs.select("doc"), links)
     moved = grouped.filter("comp <> doc").toDF("_class", "_comp")
     members = classes.select("set_a", "set_b", "n_shingles", F.col("doc").alias("_class"))
     placed_classes = members.join(moved, "_class", "left").select(
@@ -247,10 +244,45 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         ),
         "components",
     )
-    dropped(profile, classes, open_docs, sets, links, crossing, more)
+    dropped(profile, classes, open_docs, sets)
     return out
 
 
+def _pairs(open_docs: DataFrame, grouped: DataFrame, best: bool) -> DataFrame:
+    """Pairs (a, b) of different components from the lists that still hold several, in blocks of bounded size."""
+    placed = open_docs.join(grouped, "doc").select(
+        "doc",
+        "comp",
+        "signature",
+        F.expr("aggregate(prefix, 0L, (m, x) -> m | shiftleft(1L, cast(shiftright(x, 32) AS int)))").alias("mask"),
+        F.explode("prefix").alias("key"),
+    )
+    unsettled = (
+        placed.groupBy("key")
+        .agg(F.min("comp").alias("_low"), F.max("comp").alias("_high"), F.count("*").alias("_n"))
+        .filter("_low < _high")
+        .select("key", F.ceil(F.col("_n") / BLOCK).cast("int").alias("blocks"))
+    )
+    blocks = (
+        placed.join(unsettled, "key")
+        .withColumn("part", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
+        .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select(
+            F.xxhash64("key", F.least("part", "_other"), F.greatest("part", "_other")).alias("unit"),
+            F.shiftright("key", 32).cast("int").alias("coordinate"),
+            "doc",
+            "part",
+            "comp",
+            "mask",
+            (F.col("part") == F.col("_other")).cast("int").alias("same"),
+            "signature",
+        )
+    )
+    parts = int(open_docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = blocks.repartition(parts, "unit").sortWithinPartitions("unit").mapInArrow(_crossing(best), "a long, b long")
+    return kept(found.distinct(), "crossing")
+
+
 def _grouped(nodes: DataFrame, links: DataFrame) -> DataFrame:
     """(doc, comp) for all nodes; only linked ones go through the component rounds."""
     linked = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node"))).distinct()

@@ -1,10 +1,11 @@
-"""Queries that look at each text: quality, encoding."""
+"""Queries that look at each text: quality, language, encoding."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 from textspark.llm.encoding import encoding_report
+from textspark.llm.langid import languages
 from textspark.llm.quality import quality_scores
 from textspark.llm.queries import query
 from textspark.sources.tables import read_table
@@ -18,3 +19,8 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_sentencepiece")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding_report(read_table(spark, sf_dir, "documents"))
+
+
+@query("op10_language_id")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages(read_table(spark, sf_dir, "documents"))
