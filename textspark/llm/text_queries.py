@@ -1,4 +1,4 @@
-"""Queries that look at each text: language model, quality, language, encoding."""
+"""Queries that look at each text: language model, quality, license notices, language, encoding."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from textspark.llm.encoding import encoding_report
 from textspark.llm.langid import languages
+from textspark.llm.licenses import notices
 from textspark.llm.mixing import language_scores
 from textspark.llm.quality import quality_scores
 from textspark.llm.queries import query
@@ -27,6 +28,11 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding_report(read_table(spark, sf_dir, "documents"))
 
 
+@query("op9_license_scan")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return notices(read_table(spark, sf_dir, "documents"))
+
+
 @query("op10_language_id")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages(read_table(spark, sf_dir, "documents"))
