@@ -12,15 +12,15 @@ EDGES = [None, "", "   ", "x", "é", "x²", "a b", "a_b", "$1 \\ $"]
 
 
 def test_keywords_are_replaced_once_longest_first(column):
-    table = {"Yo": "Hello", "dude": "yo", "new york": "NY", "new york city": "NYC"}
-    text = "Yo dude. What's up? Yodel åyo New York cityx, new york city"
+    table = {"sea": "lake", "fog": "sea", "salt water": "SW", "salt water pool": "SWP"}
+    text = "Sea fog! Seaside, öfog, Salt Water pools and salt water pool"
     got = column(lambda c: clean.replace_keywords(c, table), text)
-    assert got == ["Hello yo. What's up? Yodel åyo NY cityx, NYC"]
+    assert got == ["lake sea! Seaside, öfog, SW pools and SWP"]
 
 
 def test_keywords_case_sensitive_and_symbols(column):
-    got = column(lambda c: clean.replace_keywords(c, {"Yo": "Hi", ":)": "smile"}, case_sensitive=True), "yo Yo :) !:)")
-    assert got == ["yo Hi smile !smile"]
+    got = column(lambda c: clean.replace_keywords(c, {"Rain": "wet", "->": "to"}, case_sensitive=True), "rain Rain -> !->")
+    assert got == ["rain wet to !to"]
 
 
 def test_keyword_output_is_literal(column):
@@ -38,16 +38,16 @@ def test_pattern_backreference_is_translated(column):
 
 
 def test_stop_patterns(column):
-    got = column(lambda c: clean.remove_stop_patterns(c, [r"bil\p{L}*"]), "En bil, bilen, flere biler, alle bilene")
-    assert got == ["En  ,  , flere  , alle  "]
+    got = column(lambda c: clean.remove_stop_patterns(c, [r"sten\p{L}*"]), "To stener, stenen; ny sten")
+    assert got == ["To  ,  ; ny  "]
 
 
 def test_stopwords_become_spaces(column):
-    assert column(lambda c: clean.remove_stopwords(c, ["er", "det"]), "Det er bra.") == ["    bra."]
+    assert column(lambda c: clean.remove_stopwords(c, ["og", "på"]), "På tak og mur.") == ["  tak   mur."]
 
 
 def test_punctuation(column):
-    assert column(clean.strip_punctuation, "Hei!! Hvordan går det?") == ["Hei   Hvordan går det "]
+    assert column(clean.strip_punctuation, "Regn?? Ja, mye!") == ["Regn   Ja  mye "]
 
 
 def test_whitespace_matches_python_split(column):
@@ -62,9 +62,9 @@ def test_tidy_body_matches_the_rule(column):
 
 
 def test_urls_functions_and_marks(column):
-    assert column(clean.mask_urls, "Sjekk denne siden: https://a.no/x?y=1") == ["Sjekk denne siden: [URL BLOCKED]"]
-    assert column(lambda c: clean.replace_by_function(c, "ha", F.upper), "Det var morsomt hahaha") == [
-        "Det var morsomt HAHAHA"
+    assert column(clean.mask_urls, "kart på https://a.no/x?y=1 i dag") == ["kart på [URL BLOCKED] i dag"]
+    assert column(lambda c: clean.replace_by_function(c, "is", F.upper), "grus, gris og isis") == [
+        "grus, grIS og ISIS"
     ]
     assert column(lambda c: clean.mark_matches(c, "a.b"), "a.b axb") == ["«a.b» axb"]
     assert column(lambda c: clean.mark_matches(c, "a.b", True, "[$", "]"), "a.b axb") == ["[$a.b] [$axb]"]
@@ -94,6 +94,8 @@ def test_label_paths(spark):
     df = spark.createDataFrame([(["A", "B", "C"],)], "labels array<string>")
     path = lambda n: df.select(labels.label_path(F.col("labels"), n)).first()[0]
     assert [path(0), path(1), path(-1), path(None)] == ["A", "A > B", "A > B > C", ["A", "B", "C"]]
+    deep = spark.createDataFrame([([str(i) for i in range(25)],)], "labels array<string>")
+    assert deep.select(labels.label_path(F.col("labels"), -1)).first()[0].count(" > ") == 24
 
 
 def test_matching_and_skipping(column):
@@ -101,8 +103,8 @@ def test_matching_and_skipping(column):
     texts = ("https://a.b", "se https://a.b nå", "ingen")
     assert column(lambda c: labels.starts_with_pattern(c, url), *texts) == [True, False, False]
     assert column(lambda c: labels.first_match(c, url), *texts) == ["https://a.b", "https://a.b", None]
-    names = ("Forumarkiv", "Data (snarvei)", "Data")
-    keep = lambda c: labels.allowed_name(c, ["Forumarkiv"], [r".*\(snarvei\)$"])
+    names = ("Old stock", "Tools [moved]", "Tools")
+    keep = lambda c: labels.allowed_name(c, ["Old stock"], [r".*\[moved\]$"])
     assert column(keep, *names) == [False, False, True]
 
 
@@ -111,17 +113,15 @@ def test_prefix_category_last_rule_wins(column):
 
 
 def test_tokenisers(column):
-    assert column(tokens.symbol_tokens, "Håper dette funker :)") == [["håper", "dette", "funker", ":)"]]
+    assert column(tokens.symbol_tokens, "Båten går nå ->") == [["båten", "går", "nå", "->"]]
     assert column(tokens.word_tokens, "språk på x² i") == [["språk", "på", "x²"]]
     assert column(tokens.alnum_tokens, "a_b c-D") == [["a", "b", "c", "D"]]
     assert column(tokens.raw_tokens, None, "") == [None, []]
 
 
 def test_sentences_keep_abbreviations_together(column):
-    text = "Dette er en test. Funker dette? Her har vi f.eks. en forkortelse."
-    assert column(tokens.sentences, text) == [
-        ["Dette er en test.", "Funker dette?", "Her har vi f.eks. en forkortelse."]
-    ]
+    text = "Toget kom sent. Hvorfor det? Det var bl.a. is på sporet."
+    assert column(tokens.sentences, text) == [["Toget kom sent.", "Hvorfor det?", "Det var bl.a. is på sporet."]]
     assert column(tokens.sentences, "", "  ", "a") == [[], [], ["a"]]
 
 
@@ -136,14 +136,14 @@ def test_word_ngrams_against_loop(column):
 
 
 def test_ngrams_stay_inside_sentences(column):
-    text = "Jeg liker deg. Dette er bra."
-    assert "deg dette" in column(lambda c: tokens.word_ngrams(tokens.word_tokens(c), 2, 2), text)[0]
-    assert "deg dette" not in column(lambda c: tokens.sentence_ngrams(c, tokens.word_tokens, 2, 2), text)[0]
+    text = "Vi ror hjem. Vinden snur."
+    assert "hjem vinden" in column(lambda c: tokens.word_ngrams(tokens.word_tokens(c), 2, 2), text)[0]
+    assert "hjem vinden" not in column(lambda c: tokens.sentence_ngrams(c, tokens.word_tokens, 2, 2), text)[0]
 
 
 def test_char_ngrams(column):
-    assert column(lambda c: tokens.char_ngrams(c, 4, 4), "Hei, John!", "hei", None) == [
-        ["hei,", "ei, ", "i, j", ", jo", " joh", "john", "ohn!"], [], None,
+    assert column(lambda c: tokens.char_ngrams(c, 4, 4), "Ny, Kari?", "nye", None) == [
+        ["ny, ", "y, k", ", ka", " kar", "kari", "ari?"], [], None,
     ]
     assert column(lambda c: tokens.char_ngrams(c, 2, 2), "a😀b")[0] == ["a😀", "😀b"]
     assert column(lambda c: tokens.char_wb_ngrams(c, 4, 5), "a bcd") == [[" a ", " bcd", "bcd ", " bcd "]]

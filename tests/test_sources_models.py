@@ -88,6 +88,20 @@ def test_ingest_is_restartable(spark, tmp_path):
     assert got.count() == 60 and got.select("id").distinct().count() == 60 and got.filter("v <> 'x'").count() == 0
 
 
+def test_every_batch_is_reported(spark, tmp_path):
+    """More batches than the query itself remembers."""
+    for i in range(4):
+        spark.range(3 * i, 3 * i + 3).coalesce(1).write.parquet(f"{tmp_path}/in/{i}")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "1")
+    try:
+        batches = ingest.ingest_stream(
+            spark, f"{tmp_path}/in/*", spark.range(1).schema, f"{tmp_path}/out", f"{tmp_path}/at", "id", [F.col("id")], files_per_batch=1
+        )
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    assert [b["rows"] for b in batches] == [3, 3, 3, 3] and [b["batch_id"] for b in batches] == [0, 1, 2, 3]
+
+
 def test_repeating_a_batch_changes_nothing(spark, tmp_path):
     for _ in range(2):
         ingest.ingest_batch(spark.range(5), f"{tmp_path}/t", "id", [F.col("id")], batch_id=0)

@@ -11,16 +11,14 @@ from textspark.functions import patterns
 from textspark.functions.arrays import bind
 
 PATH_SEPARATOR = " > "
-# Fixed value: the depth that stands for "all levels" is 20, which keeps 21 labels.
-DEEPEST_LEVEL = 20
 
 
 def label_path(labels: Column, level: int | None) -> Column:
     """First level+1 labels joined root to leaf; -1 takes every level, None leaves the array alone."""
     if level is None:
         return labels
-    depth = (DEEPEST_LEVEL if level == -1 else level) + 1
-    return F.array_join(F.slice(labels, 1, depth), PATH_SEPARATOR)
+    taken = labels if level == -1 else F.slice(labels, 1, level + 1)
+    return F.array_join(taken, PATH_SEPARATOR)
 
 
 def top_label(path: Column) -> Column:

@@ -9,20 +9,18 @@ from textspark.plans.lineage import durable
 from textspark.plans.skew import heavy_keys, lookup_join
 from textspark.plans.union import union_rows
 
-MAX_ROUNDS = 200
-
 
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(node, component) where component is the smallest node number reachable over `edges(a, b)`.
 
     Each round takes the smallest label around every node and then jumps to that label's own label, so chains
-    shrink by half and more. A label shared by very many nodes is looked up from a broadcast slice.
+    shrink by half and more. Labels only ever get smaller, so the rounds end at the fixed point. A label shared by very many nodes is looked up from a broadcast slice.
     """
     both = durable(
         union_rows(edges.select("a", "b"), edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
     )
     labels = durable(nodes.select("node", F.col("node").alias("component")))
-    for _ in range(MAX_ROUNDS):
+    while True:
         around = (
             both.join(labels.toDF("b", "_near"), "b").groupBy("a").agg(F.min("_near").alias("_near")).withColumnRenamed("a", "node")
         )
@@ -40,4 +38,3 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         labels = moved.select("node", F.col("_new").alias("component"))
         if moved.filter(F.col("_new") != F.col("component")).isEmpty():
             return labels
-    raise RuntimeError(f"no fixed point after {MAX_ROUNDS} rounds")

@@ -10,28 +10,36 @@ from textspark.plans.lineage import durable
 from textspark.plans.union import union_rows
 
 
-def tree_paths(nodes: DataFrame, allowed: Column | None = None, max_depth: int = 1000) -> DataFrame:
+def tree_paths(nodes: DataFrame, allowed: Column | None = None) -> DataFrame:
     """(node_id, path, depth) for every node reachable from a root through allowed names.
 
     `nodes` has (node_id, parent_id, name); roots have a null parent. A node whose name is not allowed is
     dropped with its whole subtree. One equi-join per level, each level written once, so there is neither
-    a recursion row limit nor a plan that grows with depth.
+    a recursion row limit nor a plan that grows with depth. A node found among its own ancestors is an error.
     """
     if allowed is not None:
         nodes = nodes.filter(allowed)
     level = nodes.filter(F.col("parent_id").isNull()).select(
-        "node_id", F.col("name").alias("path"), F.lit(1).cast("bigint").alias("depth")
+        "node_id", F.col("name").alias("path"), F.lit(1).cast("bigint").alias("depth"), F.array("node_id").alias("_line")
     )
-    found = level
-    for depth in range(2, max_depth + 1):
+    found = level.drop("_line")
+    depth = 1
+    while True:
+        depth += 1
+        above = level.select(F.col("node_id").alias("parent_id"), "path", "_line")
         level = durable(
-            nodes.join(level.select(F.col("node_id").alias("parent_id"), "path"), "parent_id").select(
+            nodes.join(above, "parent_id").select(
                 "node_id",
                 F.concat_ws(PATH_SEPARATOR, "path", "name").alias("path"),
                 F.lit(depth).cast("bigint").alias("depth"),
+                F.concat("_line", F.array("node_id")).alias("_line"),
+                F.array_contains("_line", F.col("node_id")).alias("_ring"),
             )
         )
-        if level.isEmpty():
+        state = level.agg(F.count("*").alias("n"), F.bool_or("_ring").alias("ring")).first()
+        if not state.n:
             return found
-        found = union_rows(found, level)
-    raise RuntimeError(f"the tree is deeper than {max_depth} levels, or has a cycle")
+        if state.ring:
+            raise ValueError(f"a node at depth {depth} is its own ancestor")
+        level = level.drop("_ring")
+        found = union_rows(found, level.drop("_line"))

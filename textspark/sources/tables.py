@@ -9,11 +9,15 @@ def read_table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/{name}.parquet")
 
 
+#: Tables up to this size are dealt out over the cores; larger ones have row groups enough to be read in parallel.
+SMALL_TABLE_BYTES = 64 << 20
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Spreads a table kept in fewer files than there are cores, so one scan task does not do all the work.
+    """Deals a small table out over the cores, since a row group is read by one task; a large one stays as it is.
 
-    A row group is read by one task. Large tables have many files and are left where they are. The rows are
-    dealt out evenly, not by key, so one large text or key cannot crowd a partition.
+    The size is the optimiser's estimate of what is read, so no file names come to the driver. Rows are dealt
+    evenly, not by key.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if size <= SMALL_TABLE_BYTES else df

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQueryListener
 
 from textspark.plans.ranking import top_k_per_group
 from textspark.sources.posts import read_ledger
@@ -82,26 +84,63 @@ def ingest_stream(
     files_per_batch: int = 100,
     file_format: str = "parquet",
 ) -> list[dict]:
-    """Drains the files waiting in `source_dir` in micro-batches and returns size and duration of each."""
+    """Drains the files waiting in `source_dir` in micro-batches and returns size and duration of each.
+
+    A listener collects every batch; the query itself only remembers its newest ones.
+    """
     stream = (
         spark.readStream.schema(schema)
         .format(file_format)
         .option("maxFilesPerTrigger", files_per_batch)
         .load(source_dir)
     )
-    query = (
-        stream.writeStream.foreachBatch(
-            lambda batch, batch_id: ingest_batch(batch, posts_path, key, order, clean, batch_id)
+    batches = _Batches()
+    spark.streams.addListener(batches)
+    try:
+        query = (
+            stream.writeStream.foreachBatch(
+                lambda batch, batch_id: ingest_batch(batch, posts_path, key, order, clean, batch_id)
+            )
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
         )
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    return [
-        {"batch_id": p["batchId"], "rows": p["numInputRows"], "millis": p["batchDuration"]}
-        for p in query.recentProgress
-    ]
+        query.awaitTermination()
+        # Events arrive in order and a little later than the query ends.
+        if str(query.id) not in batches.ended and not batches.wait(str(query.id)):
+            raise TimeoutError("the report of the ended stream did not arrive")
+    finally:
+        spark.streams.removeListener(batches)
+    return sorted(batches.of.get(str(query.id), []), key=lambda b: b["batch_id"])
+
+
+class _Batches(StreamingQueryListener):
+    """Size and duration of every batch of the streams that run meanwhile, by query id."""
+
+    def __init__(self) -> None:
+        self.of: dict[str, list[dict]] = {}
+        self.ended: set[str] = set()
+        self._changed = threading.Condition()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        entry = {"batch_id": p.batchId, "rows": p.numInputRows, "millis": p.batchDuration}
+        self.of.setdefault(str(p.id), []).append(entry)
+
+    def onQueryTerminated(self, event) -> None:
+        with self._changed:
+            self.ended.add(str(event.id))
+            self._changed.notify_all()
+
+    def wait(self, query_id: str, seconds: float = 120.0) -> bool:
+        with self._changed:
+            return self._changed.wait_for(lambda: query_id in self.ended, seconds)
 
 
 def ingest_once(
