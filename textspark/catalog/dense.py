@@ -24,12 +24,11 @@ def _new_words(spark, sf):
 @query(
     "emb_lookup",
     f"""WITH {VECTORS_SQL}, {_NEW_WORDS} SELECT n.word, e.word IS NOT NULL AS found,
-    {s6("e.embedding[1]")} AS first, {s6("e.embedding[64]")} AS last FROM new_words n LEFT JOIN emb e USING (word)""",
+    list_transform(e.embedding, lambda x: {s6("x::DOUBLE")}) AS embedding FROM new_words n LEFT JOIN emb e USING (word)""",
 )
 def emb_lookup(spark, sf):
     found = dense.lookup(word_vectors(spark, sf).drop("vec_id"), _new_words(spark, sf))
-    cell = lambda i: r6(F.get("embedding", F.lit(i)).cast("double"))
-    return found.select("word", "found", cell(0).alias("first"), cell(63).alias("last"))
+    return found.select("word", "found", F.transform("embedding", lambda x: r6(x.cast("double"))).alias("embedding"))
 
 
 @query(
@@ -215,12 +214,22 @@ def emb_word_sample(spark, sf):
     return dense.frequent_known_words(counts.toDF("word", "n"), word_vectors(spark, sf), 10, 100, seed=3)
 
 
-EPS, MIN_SAMPLES = 0.02, 4
+EPS, MIN_SAMPLES = 0.1, 4
+
+
+def _place(cycle: int):
+    """A coordinate made from the whole vector: its places weighted by a repeating row of small numbers."""
+    parts = F.transform("embedding", lambda x, i: x.cast("double") * (i % cycle - F.lit(cycle // 2)) / 4)
+    return F.round(F.aggregate(parts, F.lit(0.0), lambda total, x: total + x), 4)
+
+
+def _sql_place(cycle: int) -> str:
+    return f"round(list_sum(list_transform(embedding, lambda x, i: x::DOUBLE * ((i - 1) % {cycle} - {cycle // 2}) / 4)), 4)"
 
 
 @query(
     "density_cluster",
-    f"""WITH RECURSIVE pts AS (SELECT vec_id AS id, embedding[1]::DOUBLE AS x, embedding[2]::DOUBLE AS y FROM embeddings),
+    f"""WITH RECURSIVE pts AS (SELECT vec_id AS id, {_sql_place(5)} AS x, {_sql_place(7)} AS y FROM embeddings),
     near AS (SELECT a.id AS a, b.id AS b FROM pts a JOIN pts b
       ON (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= {EPS}::DOUBLE * {EPS}::DOUBLE),
     core AS (SELECT a AS id FROM near GROUP BY a HAVING count(*) >= {MIN_SAMPLES}),
@@ -234,7 +243,7 @@ EPS, MIN_SAMPLES = 0.02, 4
 def density_cluster(spark, sf):
     points = table(spark, sf, "embeddings").select(
         F.col("vec_id").alias("id"),
-        F.get("embedding", F.lit(0)).cast("double").alias("x"),
-        F.get("embedding", F.lit(1)).cast("double").alias("y"),
+        _place(5).alias("x"),
+        _place(7).alias("y"),
     )
     return clusters.density_clusters(points, EPS, MIN_SAMPLES)

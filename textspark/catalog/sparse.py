@@ -132,13 +132,16 @@ def bow_cased(spark, sf):
       ELSE list_transform(generate_series(1, length(w) - 2), lambda i: substr(w, i, 3)) END) AS term FROM t),
     {BOW_SQL}, both_spaces AS (SELECT 'char' AS space, doc_id, term, count(*) AS n FROM g GROUP BY doc_id, term
       UNION ALL SELECT 'word', doc_id, term, n FROM bow)
-    SELECT space, term, count(*) AS df, sum(n)::BIGINT AS total FROM both_spaces GROUP BY space, term""",
+    SELECT space, doc_id, count(*) AS n_terms, md5(string_agg(term || ':' || n, chr(31) ORDER BY term)) AS digest
+    FROM both_spaces GROUP BY space, doc_id""",
 )
 def stacked(spark, sf):
     docs = documents(spark, sf)
     chars = sparse.bag_of_words(docs, "doc_id", tokens.char_wb_ngrams(F.col("text"), 3, 3))
     spaces = sparse.stack({"word": bow_of(spark, sf), "char": chars})
-    return spaces.groupBy("space", "term").agg(F.count("*").alias("df"), F.sum("n").alias("total"))
+    cells = F.sort_array(F.collect_list(F.struct("term", "n")))
+    listed = F.array_join(F.transform(cells, lambda c: F.concat_ws(":", c["term"], c["n"].cast("string"))), "\x1f")
+    return spaces.groupBy("space", "doc_id").agg(F.count("*").alias("n_terms"), F.md5(listed).alias("digest"))
 
 
 @query(

@@ -11,7 +11,6 @@ from textspark.catalog.fixtures import ALNUM, DOCS_SQL, RAW, W, WORDS, WS, docum
 from textspark.catalog.registry import query
 from textspark.functions import tokens
 from textspark.functions.udf import map_column, python_column
-from textspark.operators.sparse import bag_of_words, term_stats
 
 
 def _listed(spark, sf, items):
@@ -66,52 +65,59 @@ def all_sentences(spark, sf):
     )
 
 
-@query(
-    "word_ngrams",
-    rf"""WITH t AS (SELECT doc_id, {WORDS} AS l FROM documents),
-    g AS (SELECT doc_id, unnest(l) AS term FROM t UNION ALL
-      SELECT doc_id, unnest(list_transform(generate_series(1, len(l) - 1), lambda i: l[i] || ' ' || l[i + 1])) FROM t)
-    SELECT term, count(DISTINCT doc_id) AS df, count(*) AS total FROM g GROUP BY term""",
-)
+def _sql_bigrams(words: str) -> str:
+    return f"list_transform(generate_series(1, len({words}) - 1), lambda i: {words}[i] || ' ' || {words}[i + 1])"
+
+
+def _sql_digest(source: str) -> str:
+    """Length of each document's list and a digest of it, order included; `source` gives (doc_id, l)."""
+    return f"SELECT doc_id, len(l)::BIGINT AS n, md5(array_to_string(l, chr(31))) AS digest FROM ({source})"
+
+
+def _digest(spark, sf, grams):
+    listed = F.coalesce(grams, F.array().cast("array<string>"))
+    return documents(spark, sf).select(
+        "doc_id", F.size(listed).cast("bigint").alias("n"), F.md5(F.array_join(listed, "\x1f")).alias("digest")
+    )
+
+
+@query("word_ngrams", _sql_digest(f"SELECT doc_id, list_concat(w, {_sql_bigrams('w')}) AS l FROM (SELECT doc_id, {WORDS} AS w FROM documents)"))
 def word_ngrams(spark, sf):
-    grams = tokens.word_ngrams(tokens.word_tokens(F.col("text")), 1, 2)
-    return term_stats(bag_of_words(documents(spark, sf), "doc_id", grams))
+    return _digest(spark, sf, tokens.word_ngrams(tokens.word_tokens(F.col("text")), 1, 2))
 
 
 @query(
     "sentence_ngrams",
-    rf"""WITH s AS (SELECT doc_id, unnest({sql_sentences("text")}) AS sentence FROM documents),
-    t AS (SELECT doc_id, regexp_extract_all(lower(sentence), '{W}{{2,}}') AS l FROM s),
-    g AS (SELECT doc_id, unnest(list_transform(generate_series(1, len(l) - 1), lambda i: l[i] || ' ' || l[i + 1])) AS term FROM t)
-    SELECT term, count(DISTINCT doc_id) AS df, count(*) AS total FROM g GROUP BY term""",
+    _sql_digest(
+        rf"""SELECT doc_id, flatten(list_transform(list_transform({sql_sentences("text")},
+        lambda s: regexp_extract_all(lower(s), '{W}{{2,}}')), lambda w: {_sql_bigrams("w")})) AS l FROM documents"""
+    ),
 )
 def sentence_ngrams(spark, sf):
-    grams = tokens.sentence_ngrams(F.col("text"), tokens.word_tokens, 2, 2)
-    return term_stats(bag_of_words(documents(spark, sf), "doc_id", grams))
+    return _digest(spark, sf, tokens.sentence_ngrams(F.col("text"), tokens.word_tokens, 2, 2))
 
 
 @query(
     "char_ngrams",
-    rf"""WITH t AS (SELECT doc_id, string_split(regexp_replace(lower(text), '{WS}{{2,}}', ' ', 'g'), '') AS s FROM documents),
-    c AS (SELECT doc_id, unnest(s) AS c, generate_subscripts(s, 1) AS pos FROM t),
-    g AS (SELECT doc_id, c || lead(c, 1) OVER w || lead(c, 2) OVER w || lead(c, 3) OVER w AS term FROM c
-      WINDOW w AS (PARTITION BY doc_id ORDER BY pos) QUALIFY term IS NOT NULL)
-    SELECT term, count(DISTINCT doc_id) AS df, count(*) AS total FROM g GROUP BY term""",
+    _sql_digest(
+        rf"""SELECT doc_id, list_transform(generate_series(1, len(s) - 3), lambda i: s[i] || s[i + 1] || s[i + 2] || s[i + 3]) AS l
+        FROM (SELECT doc_id, string_split(regexp_replace(lower(text), '{WS}{{2,}}', ' ', 'g'), '') AS s FROM documents)"""
+    ),
 )
 def char_ngrams(spark, sf):
-    return term_stats(bag_of_words(documents(spark, sf), "doc_id", tokens.char_ngrams(F.col("text"), 4, 4)))
+    return _digest(spark, sf, tokens.char_ngrams(F.col("text"), 4, 4))
 
 
 @query(
     "char_wb_ngrams",
-    rf"""WITH t AS (SELECT doc_id, ' ' || unnest(list_filter(regexp_split_to_array(lower(text), '{WS}+'),
-      lambda x: x <> '')) || ' ' AS w FROM documents),
-    g AS (SELECT doc_id, unnest(CASE WHEN length(w) < 4 THEN [w]
-      ELSE list_transform(generate_series(1, length(w) - 3), lambda i: substr(w, i, 4)) END) AS term FROM t)
-    SELECT term, count(DISTINCT doc_id) AS df, count(*) AS total FROM g GROUP BY term""",
+    _sql_digest(
+        rf"""SELECT doc_id, flatten(list_transform(list_filter(regexp_split_to_array(lower(text), '{WS}+'), lambda x: x <> ''),
+        lambda w: CASE WHEN length(w) < 2 THEN [' ' || w || ' ']
+          ELSE list_transform(generate_series(1, length(w) - 1), lambda i: substr(' ' || w || ' ', i, 4)) END)) AS l FROM documents"""
+    ),
 )
 def char_wb_ngrams(spark, sf):
-    return term_stats(bag_of_words(documents(spark, sf), "doc_id", tokens.char_wb_ngrams(F.col("text"), 4, 4)))
+    return _digest(spark, sf, tokens.char_wb_ngrams(F.col("text"), 4, 4))
 
 
 def _python_tokens(text: str) -> list[str]:
