@@ -167,10 +167,12 @@ def test_top_classes_are_kept_whole(spark, fitted):
     assert {r.n for r in rows.groupBy("id").agg(F.count_distinct("label").alias("n")).collect()} == {2}
 
 
-def test_vocabulary_limit_is_an_error(spark, fitted):
-    stage = TokenStage(inputCol="text", outputCol="tokens")
-    with pytest.raises(ValueError, match="limit"):
-        learn.text_classifier(fitted[0], [], learn.tfidf_stages(stage, vocabulary=3), learn.logistic_regression(6))
+def test_rows_to_fit_are_bounded_per_class(spark):
+    df = spark.createDataFrame([(i, "ab"[i % 2] if i < 30 else None) for i in range(40)], "id int, label string")
+    assert learn.fit_rows(df, "label", "id").count() == 30
+    counts = learn.fit_rows(df, "label", "id", per_class=4).groupBy("label").count().collect()
+    assert {r.label: r["count"] for r in counts} == {"a": 4, "b": 4}
+    assert [learn.embedding_partitions(n) for n in (0, 20_000, 20_001)] == [1, 1, 2]
 
 
 def test_smooth_idf_equals_the_long_form(spark, fitted):

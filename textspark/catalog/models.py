@@ -10,7 +10,7 @@ from textspark.catalog.phrasing import merged_sentences
 from textspark.catalog.registry import query
 from textspark.functions import tokens
 from textspark.functions.patterns import URL
-from textspark.operators import evaluate, gradient, learn, project, sparse
+from textspark.operators import evaluate, gradient, learn, project, sampling, sparse
 from textspark.operators.bayes import NaiveBayes
 from textspark.operators.phrases import display
 from textspark.plans import durable
@@ -89,8 +89,26 @@ def nb_explain(spark, sf):
 
 
 # Linear models --------------------------------------------------------------------------------------------
+# A tenth of every language is held out, the rest fits the model in at most ITERATIONS steps of the optimiser.
+ITERATIONS, SHARE, SEED = 30, 0.1, 7
+_SPLIT_SQL = f"""split AS (SELECT doc_id, lang AS label, r <= round({SHARE}::DOUBLE * n) AS is_test FROM (SELECT doc_id, lang,
+  row_number() OVER (PARTITION BY lang ORDER BY md5('{SEED}' || doc_id), doc_id) AS r, count(*) OVER (PARTITION BY lang) AS n
+  FROM documents))"""
+
+
+def _judged_sql() -> str:
+    """What a fit must show for each class: exact sizes, and good recall on rows it has not seen."""
+    return f"""WITH {_SPLIT_SQL} SELECT label, count(*) FILTER (NOT is_test) AS n_train, count(*) FILTER (is_test) AS n_test,
+    true AS accurate FROM split GROUP BY label"""
+
+
 def _split(spark, sf):
-    return documents(spark, sf).select("doc_id", "text", F.col("lang").alias("label"))
+    docs = documents(spark, sf).select("doc_id", "text", F.col("lang").alias("label"))
+    return durable(sampling.stratified_split(docs, "label", "doc_id", SHARE, SEED))
+
+
+def _train(split):
+    return learn.fit_rows(split.filter("NOT is_test"), "label", "doc_id").select("doc_id", "text", "label")
 
 
 def _words(min_df=3.0, max_df=0.5):
@@ -98,74 +116,80 @@ def _words(min_df=3.0, max_df=0.5):
     return learn.tfidf_stages(stage, min_df, max_df)
 
 
-def _summary(model, data):
-    out = learn.predict(model, data)
-    keep = ["doc_id", "label", "predicted"]
-    if "probability" in out.columns:
-        out = out.withColumn("confidence", F.array_max("probability"))
-        keep.append("confidence")
-    return out.select(*keep)
+def _judged(split, model, least=0.9):
+    """(label, n_train, n_test, accurate): sizes, and whether recall on the held-out rows reaches `least`."""
+    hits = learn.predict(model, split.filter("is_test").select("doc_id", "text", "label"))
+    recall = hits.groupBy("label").agg(F.avg((F.col("label") == F.col("predicted")).cast("double")).alias("_recall"))
+    sizes = split.groupBy("label").agg(F.count_if(~F.col("is_test")).alias("n_train"), F.count_if("is_test").alias("n_test"))
+    return sizes.join(recall, "label", "left").withColumn("accurate", F.coalesce(F.col("_recall") >= least, F.lit(True))).drop("_recall")
+
 
+def _logistic(split, features):
+    train = _train(split)
+    return learn.text_classifier(train, [], features, learn.logistic_regression(train.count(), ITERATIONS)), train
 
-@query("logreg_fit")
+
+@query("logreg_fit", _judged_sql())
 def logreg_fit(spark, sf):
-    data = _split(spark, sf)
-    model = learn.text_classifier(data, [], _words(), learn.logistic_regression(data.count(), 30))
-    return _summary(model, data)
+    split = _split(spark, sf)
+    return _judged(split, _logistic(split, _words())[0])
 
 
-@query("svm_fit")
+@query("svm_fit", _judged_sql())
 def svm_fit(spark, sf):
-    data = _split(spark, sf)
-    return _summary(learn.text_classifier(data, [], _words(), learn.linear_svm(data.count(), 20)), data)
+    split = _split(spark, sf)
+    train = _train(split)
+    return _judged(split, learn.text_classifier(train, [], _words(), learn.linear_svm(train.count(), 20)))
 
 
-@query("pipeline_fit")
+@query("pipeline_fit", _judged_sql())
 def pipeline_fit(spark, sf):
     """URL removal, character 4-gram TF-IDF and a linear model in one fitted object, applied to unseen text."""
-    data = _split(spark, sf)
+    split = _split(spark, sf)
+    train = _train(split)
     cleaning = [CleanerStage(inputCols=["text"], outputCols=["text"], steps=[["stop_patterns", {"stop_patterns": [URL]}]])]
     chars = TokenStage(inputCol="text", outputCol="tokens", analyzer="char", low=4, high=4)
     features = learn.tfidf_stages(chars, 3.0, 0.5)
-    model = learn.text_classifier(data, cleaning, features, learn.logistic_regression(data.count(), 30))
-    unseen = table(spark, sf, "benchmark")
-    return learn.predict(model, unseen).select(
-        "item_id", "predicted", F.array_max("probability").alias("confidence")
-    )
+    return _judged(split, learn.text_classifier(train, cleaning, features, learn.logistic_regression(train.count(), ITERATIONS)))
 
 
-@query("vec_classifier")
+@query("vec_classifier", _judged_sql())
 def vec_classifier(spark, sf):
-    data = _split(spark, sf)
+    split = _split(spark, sf)
+    train = _train(split)
+    n = train.count()
     stage = TokenStage(inputCol="text", outputCol="tokens", analyzer="raw")
-    features = [stage, *learn.embedding_stages("tokens", size=32, min_count=5)]
-    return _summary(learn.text_classifier(data, [], features, learn.logistic_regression(data.count(), 30)), data)
+    features = [stage, *learn.embedding_stages("tokens", 32, 5, learn.embedding_partitions(n))]
+    return _judged(split, learn.text_classifier(train, [], features, learn.logistic_regression(n, ITERATIONS)))
 
 
 @query("train_word2vec")
 def train_word2vec(spark, sf):
-    merged = merged_sentences(spark, sf).select(F.transform("tokens", display).alias("tokens"))
-    model = learn.embedding_stages("tokens", size=16, min_count=20)[0].fit(merged)
+    merged = durable(merged_sentences(spark, sf).select(F.transform("tokens", display).alias("tokens")))
+    model = learn.embedding_stages("tokens", 16, 20, learn.embedding_partitions(merged.count()))[0].fit(merged)
     return model.getVectors()
 
 
 @query("top_features")
 def top_features(spark, sf):
-    data = _split(spark, sf)
-    model = learn.text_classifier(data, [], _words(), learn.logistic_regression(data.count(), 20))
-    return learn.top_features(learn.coefficients(model, data), 10)
+    model, train = _logistic(_split(spark, sf), _words())
+    return learn.top_features(learn.coefficients(model, train), 10)
 
 
-@query("explain_rows")
+@query("explain_rows", f"WITH {_SPLIT_SQL} SELECT doc_id, 3::BIGINT AS classes, true AS exact FROM split WHERE is_test")
 def explain_rows(spark, sf):
-    data = _split(spark, sf)
-    model = learn.text_classifier(data, [], _words(), learn.logistic_regression(data.count(), 20))
+    """Held-out documents: whether the contributions of each best class add up to its raw score."""
+    split = _split(spark, sf)
+    model, _ = _logistic(split, _words())
+    test = split.filter("is_test").select("doc_id", "text", "label")
     tokens_of = model.stages[0].column(F.col("text"))
-    return learn.explain_linear(model, data, "doc_id", tokens_of, 3)
+    sums = learn.explain_linear(model, test, "doc_id", tokens_of, 3).groupBy("doc_id", "label").agg(F.sum("contribution").alias("_sum"))
+    both = sums.join(learn.class_scores(model, test, "doc_id"), ["doc_id", "label"])
+    return both.groupBy("doc_id").agg(F.count("*").alias("classes"), F.bool_and(F.abs(F.col("_sum") - F.col("score")) < 1e-6).alias("exact"))
 
 
 def _projected(spark, sf):
-    data = _split(spark, sf)
+    data = documents(spark, sf).select("doc_id", "text", F.col("lang").alias("label"))
     words = TokenStage(inputCol="text", outputCol="tokens", analyzer="word")
     features = Pipeline(stages=learn.tfidf_stages(words, 3.0, 0.5)).fit(data).transform(data)
     return project.svd_project(features, "doc_id", 50), data

@@ -23,6 +23,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from textspark.operators.sampling import stratified_sample
 from textspark.operators.sparse import bag_of_words, normalize
 from textspark.plans.ranking import top_k_per_group
 from textspark.plans.skew import heavy_keys, lookup_join
@@ -30,8 +31,8 @@ from textspark.plans.stages import SmoothIdf, TokenStage
 from textspark.plans.union import union_rows
 
 BIAS = "<BIAS>"
-# The vocabulary of a linear model lives on the driver; fitting fails rather than drop terms beyond this.
-MAX_VOCABULARY = 1 << 20
+# No term that min_df and max_df leave is cut; what bounds a model is the number of rows it is fitted on.
+ALL_TERMS = (1 << 31) - 1
 
 
 def label_indexer(label: str = "label", output: str = "label_index") -> StringIndexer:
@@ -39,12 +40,19 @@ def label_indexer(label: str = "label", output: str = "label_index") -> StringIn
     return StringIndexer(inputCol=label, outputCol=output, stringOrderType="alphabetAsc")
 
 
-def tfidf_stages(
-    tokens: TokenStage, min_df: float = 1.0, max_df: float = 1.0, vocabulary: int = MAX_VOCABULARY
-) -> list:
+def fit_rows(train: DataFrame, label: str, key: str, per_class: int | None = None, seed: str | int = 0) -> DataFrame:
+    """The rows to fit on: all labelled ones, or at most `per_class` of each label, chosen by a seeded hash.
+
+    A linear model keeps its vocabulary on the driver, and the rows it is fitted on bound that vocabulary.
+    """
+    labelled = train.filter(F.col(label).isNotNull())
+    return labelled if per_class is None else stratified_sample(labelled, label, key, per_class, seed)
+
+
+def tfidf_stages(tokens: TokenStage, min_df: float = 1.0, max_df: float = 1.0) -> list:
     """Token arrays to unit TF-IDF vectors in `features`. A max_df of 1.0 keeps every term."""
     counts = CountVectorizer(
-        inputCol=tokens.getOutputCol(), outputCol="counts", minDF=float(min_df), vocabSize=vocabulary
+        inputCol=tokens.getOutputCol(), outputCol="counts", minDF=float(min_df), vocabSize=ALL_TERMS
     )
     if max_df != 1.0:
         counts = counts.setMaxDF(float(max_df))
@@ -56,13 +64,6 @@ def tfidf_stages(
     ]
 
 
-def check_vocabulary(model: PipelineModel) -> PipelineModel:
-    for stage in model.stages:
-        if isinstance(stage, CountVectorizerModel) and len(stage.vocabulary) >= stage.getVocabSize():
-            raise ValueError("the vocabulary reached its size limit; prune with min_df or raise the limit")
-    return model
-
-
 def logistic_regression(n_rows: int, max_iter: int = 100) -> LogisticRegression:
     """L2-penalised with weight 1/N, which is C = 1 on the summed loss; features are not rescaled."""
     return LogisticRegression(
@@ -99,11 +100,20 @@ def text_classifier(
             kept = current = current.select(label, model.getOutputCol()).persist(StorageLevel.MEMORY_AND_DISK)
     if kept is not None:
         kept.unpersist()
-    return check_vocabulary(PipelineModel(fitted))
+    return PipelineModel(fitted)
+
+
+def embedding_partitions(n_rows: int, rows_per_task: int = 20_000) -> int:
+    """Tasks for training word vectors. Each trains on its share and their vectors are averaged after every pass."""
+    return max(1, -(-n_rows // rows_per_task))
+
 
+def embedding_stages(token_col: str, size: int, min_count: int, partitions: int, seed: int = 0) -> list:
+    """Mean of word vectors trained on the text itself, as `features`.
 
-def embedding_stages(token_col: str, size: int, min_count: int, seed: int = 0, partitions: int = 1) -> list:
-    """Mean of word vectors trained on the text itself, as `features`."""
+    The vectors are broadcast whole in every pass: vocabulary times 2 * size * 4 bytes, which min_count and the
+    rows fitted on bound.
+    """
     return [
         Word2Vec(inputCol=token_col, outputCol="features", vectorSize=size, minCount=min_count, seed=seed,
                  numPartitions=partitions)
@@ -159,31 +169,46 @@ def fitted_idf(model: PipelineModel, df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(pd.DataFrame({"term": terms, "idf": scale}), "term string, idf double")
 
 
+def class_scores(model: PipelineModel, df: DataFrame, key: str) -> DataFrame:
+    """(key, label, score): the raw score of every class, as the classifier itself computes it."""
+    for stage in model.stages[:-2]:
+        df = stage.transform(df)
+    scored = model.stages[-1].transform(df)
+    labels = F.array(*map(F.lit, _stage(model, StringIndexerModel).labels))
+    pairs = F.arrays_zip(labels.alias("label"), vector_to_array("rawPrediction").alias("score"))
+    return scored.select(key, F.inline(pairs).alias("label", "score"))
+
+
 def explain_linear(
     model: PipelineModel, df: DataFrame, key: str, tokens: Column, top_classes: int = 3
 ) -> DataFrame:
     """(key, label, term, contribution) for each document's best classes: weight * feature value per term.
 
-    Contributions and the <BIAS> row add up to the raw score of the class.
+    The best classes come from the raw scores first, so a term only ever meets those. Contributions and the
+    <BIAS> row add up to the raw score of the class.
     """
+    best = top_k_per_group(class_scores(model, df, key), [key], [F.desc("score"), F.col("label")], top_classes)
+    best = best.groupBy(key).agg(F.collect_list("label").alias("_best"))
     idf = fitted_idf(model, df)
     bow = bag_of_words(df, key, tokens)
     # Both lookup tables come from the model on the driver, so their size is known to be small.
     heavy = heavy_keys(bow.groupBy("term").agg(F.count("*").alias("_n")), ["term"], "_n")
     cells = lookup_join(bow, idf, ["term"], heavy).withColumn("value", F.col("n") * F.col("idf"))
-    values = normalize(cells.select(key, "term", "value"), key, "l2")
+    values = normalize(cells.select(key, "term", "value"), key, "l2").join(best, key)
     weights = coefficients(model, df)
     by_term = (
         weights.filter(F.col("term") != BIAS)
         .groupBy("term")
         .agg(F.collect_list(F.struct("label", "weight")).alias("w"))
     )
-    parts = lookup_join(values, by_term, ["term"], heavy).select(key, "term", "value", F.inline("w"))
+    width = 64 + 32 * len(_stage(model, StringIndexerModel).labels)
+    parts = lookup_join(values, by_term, ["term"], heavy, row_bytes=width).select(
+        key, "term", "value", F.inline(F.filter("w", lambda x: F.array_contains("_best", x["label"])))
+    )
     terms = parts.select(key, "label", "term", (F.col("value") * F.col("weight")).alias("contribution"))
     biases = weights.filter(F.col("term") == BIAS).select("label", "term", "weight")
     per_class = biases.agg(F.collect_list(F.struct("label", "term", F.col("weight").alias("contribution")))).scalar()
-    bias = df.select(key, F.inline(per_class))
-    everything = union_rows(terms, bias)
-    scores = everything.groupBy(key, "label").agg(F.sum("contribution").alias("score"))
-    best = top_k_per_group(scores, [key], [F.desc("score"), F.col("label")], top_classes)
-    return everything.join(best.select(key, "label"), [key, "label"], "left_semi")
+    bias = df.join(best, key).withColumn("_b", per_class).select(
+        key, F.inline(F.filter("_b", lambda x: F.array_contains("_best", x["label"])))
+    )
+    return union_rows(terms, bias)
