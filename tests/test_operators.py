@@ -250,6 +250,13 @@ def test_change_audit(texts):
     assert {r.term: r.delta for r in rows} == {"a": -1, "b": -1, "c": -1, "d": 1}
 
 
+def test_texts_without_tokens_stay(texts):
+    df = texts("x yy", "", "!!", None)
+    rows = lexicon.token_positions(df, "id", F.split(F.regexp_replace("text", "[^a-z ]", ""), " "))
+    rows = rows.filter("token IS NULL OR token <> ''").unionByName(lexicon.token_positions(df.filter("text = '!!'"), "id", F.array().cast("array<string>")))
+    assert sorted((r.id, r.text) for r in lexicon.join_tokens(rows, "id").collect()) == [(0, "x yy"), (2, ""), (3, "")]
+
+
 def test_names_keep_their_capital(texts):
     df = texts("I dag kom Ola hjem. Han sa hei til Kari.", "Er Ola her? Nei, han er ute.")
     names = durable(lexicon.proper_names(df, F.col("text")))

@@ -52,17 +52,15 @@ HTML = (
 BODY = "start" + "one  two\nthree" + "1. x\n2. y z\n\n" + "only bold" + "& end"
 
 
-def test_nested_pages(spark):
-    df = spark.createDataFrame([(1, "http://a.b/c/7?showforum=12", HTML)], "page_id bigint, url string, html string")
-    row = pages.nested_posts(df).first()
-    assert (row.body, row.topic_id, row.host) == (BODY, 7, "a.b")
-
-
-def test_flat_pages(spark):
-    html = HTML.replace("<span><b>only bold</b></span><p class='edit'>edited</p>", "<span>only bold</span>")
-    df = spark.createDataFrame([(1, "http://a.b/c/7", html), (2, "x", None)], "page_id bigint, url string, html string")
+def test_pages(spark):
+    odd = "<article>a<h2>H2</h2><h1>H1</h1><p><b>only</b></p><p class='x edit'>ED</p><i>it</i><code>co</code><nav><ul><li>n</li></ul></nav>&copy;&#233;&#x1F600;&nope;</article>"
+    df = spark.createDataFrame(
+        [(1, "http://a.b/c/7", HTML), (2, "x", None), (3, "y", odd), (4, "z", "<p>no container</p>")], "page_id bigint, url string, html string"
+    )
     rows = {r.page_id: r for r in pages.page_posts(df).collect()}
-    assert (rows[1].title, rows[1].body) == ("T", BODY) and rows[2].body is None
+    assert (rows[1].title, rows[1].body, rows[1].topic_id, rows[1].host) == ("T", BODY, 7, "a.b")
+    assert rows[2].body is None and rows[4].body == ""
+    assert rows[3].body == "aH2H1only\xa9\xe9\U0001f600&nope;"
 
 
 def test_ids_from_urls(column):
@@ -199,7 +197,7 @@ def test_svd_rows_are_unit_and_signed(spark):
 
 # Queries and plans -------------------------------------------------------------------------------------------
 load_all()
-PYTHON_QUERIES = {"custom_tokenizer", "map_column", "page_posts_nested"}
+PYTHON_QUERIES = {"custom_tokenizer", "map_column"}
 PLANNED = ["bow", "tfidf_l2", "sentences", "keyword_replace", "page_posts", "label_terms", "phrase_apply", "pool_sum", "cosine_sparse"]
 
 

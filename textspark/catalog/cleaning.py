@@ -149,8 +149,8 @@ names AS (SELECT lower(token) AS entry FROM forms GROUP BY lower(token)
     "lower_keep_names",
     rf"""WITH {_NAMES_SQL}, d AS (SELECT doc_id, regexp_extract_all(text, '{W}+') AS l FROM documents),
     t AS (SELECT doc_id, unnest(l) AS token, generate_subscripts(l, 1) AS pos FROM d)
-    SELECT doc_id, string_agg(CASE WHEN n.entry IS NULL THEN lower(token) ELSE token END, ' ' ORDER BY pos) AS text
-    FROM t LEFT JOIN names n ON n.entry = lower(t.token) GROUP BY doc_id""",
+    SELECT d.doc_id, coalesce(string_agg(CASE WHEN n.entry IS NULL THEN lower(token) ELSE token END, ' ' ORDER BY pos), '') AS text
+    FROM d LEFT JOIN t USING (doc_id) LEFT JOIN names n ON n.entry = lower(t.token) GROUP BY d.doc_id""",
 )
 def lower_keep_names(spark, sf):
     docs = documents(spark, sf)
@@ -176,8 +176,8 @@ def plural_lemmas(spark, sf):
     "lemma_join",
     rf"""WITH {_LEMMA_SQL}, d AS (SELECT doc_id, {RAW} AS l FROM documents),
     t AS (SELECT doc_id, unnest(l) AS token, generate_subscripts(l, 1) AS pos FROM d)
-    SELECT doc_id, string_agg(coalesce(lemma, token), ' ' ORDER BY pos) AS text
-    FROM t LEFT JOIN lemmas n ON n.entry = t.token GROUP BY doc_id""",
+    SELECT d.doc_id, coalesce(string_agg(coalesce(lemma, token), ' ' ORDER BY pos), '') AS text
+    FROM d LEFT JOIN t USING (doc_id) LEFT JOIN lemmas n ON n.entry = t.token GROUP BY d.doc_id""",
 )
 def lemma_join(spark, sf):
     docs = documents(spark, sf)

@@ -97,15 +97,13 @@ def _sql_tidy(expr: str) -> str:
 
 
 def _sql_decode(expr: str) -> str:
-    for entity, char in page_source.ENTITIES.items():
-        expr = f"replace({expr}, '{entity}', '{char.replace(chr(39), chr(39) * 2)}')"
+    for name, char in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("#39", "''"), ("nbsp", "\xa0"), ("copy", "\xa9"), ("mdash", "\u2014"), ("amp", "&")):
+        expr = f"replace({expr}, '&{name};', '{char}')"
     return expr
 
 
-_NO_H1 = r"""regexp_replace(regexp_replace(regexp_extract(html, '(?is)<article(?:\s[^>]*)?>(.*?)</article>', 1),
-    '(?s)<!--.*?-->', '', 'g'), '(?is)<h1(?:\s[^>]*)?>.*?</h1>', '', 'g')"""
-_NO_BLOCKS = _NO_H1
-for _tag in ("div", "table", "script", "style", "b"):
+_NO_BLOCKS = r"""regexp_replace(regexp_extract(html, '(?is)<article(?:\s[^>]*)?>(.*?)</article>', 1), '(?s)<!--.*?-->', '', 'g')"""
+for _tag in ("div", "table", "script", "style", "b", "i", "code", "pre", "blockquote"):
     _NO_BLOCKS = rf"regexp_replace({_NO_BLOCKS}, '(?is)<{_tag}(?:\s[^>]*)?>.*?</{_tag}>', '', 'g')"
 _BODY_SQL = _sql_tidy(
     _sql_decode(rf"regexp_replace(regexp_replace({_NO_BLOCKS}, '(?i)<br\s*/?>', chr(10), 'g'), '(?s)<[^>]*>', '', 'g')")
@@ -134,11 +132,6 @@ def page_quality(spark, sf):
     return page_source.host_quality(page_source.page_posts(pages(spark, sf)))
 
 
-@query("page_posts_nested")
-def page_posts_nested(spark, sf):
-    return page_source.nested_posts(pages(spark, sf))
-
-
 @query(
     "url_ids",
     rf"""SELECT page_id, {_PATH_NUMBER_SQL} AS topic_id,

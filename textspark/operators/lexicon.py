@@ -14,7 +14,8 @@ from textspark.plans.skew import heavy_keys, lookup_join
 
 
 def token_positions(df: DataFrame, key: str, tokens: Column) -> DataFrame:
-    return df.select(key, F.posexplode(tokens).alias("pos", "token"))
+    """(key, pos, token); a document without tokens keeps one row with nulls, so that no text is lost on the way back."""
+    return df.select(key, F.posexplode_outer(tokens).alias("pos", "token"))
 
 
 def rewrite_tokens(
@@ -33,7 +34,7 @@ def rewrite_tokens(
 
 
 def join_tokens(rows: DataFrame, key: str, name: str = "text") -> DataFrame:
-    """Puts a document's tokens back in order, separated by single spaces."""
+    """Puts a document's tokens back in order, separated by single spaces; without tokens the text is empty."""
     ordered = F.sort_array(F.collect_list(F.struct("pos", "token")))
     return rows.groupBy(key).agg(F.array_join(F.transform(ordered, lambda t: t["token"]), " ").alias(name))
 

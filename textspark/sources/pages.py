@@ -1,11 +1,10 @@
-"""From stored HTML pages to posts."""
+"""From stored HTML pages to posts, all in column expressions."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from html.parser import HTMLParser
+import json
+from html.entities import name2codepoint
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,8 +13,14 @@ from textspark.functions.patterns import quote
 
 # The elements whose text is kept.
 KEPT_TAGS = ("h1", "h2", "h3", "h4", "h5", "h6", "p", "strong", "a", "em", "span")
-# The character references decoded by the regex path; "&amp;" comes last.
-ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": " ", "&amp;": "&"}
+# A reference by name, by number or by hexadecimal number; other text; a bare ampersand.
+_REFERENCES = r"&[A-Za-z][A-Za-z0-9]*;|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};|[^&]+|&"
+_ATTRIBUTES = r"(?:\s[^>]*)?"
+# An element of another name: it goes with all it holds.
+_OTHER = rf"(?!(?:{'|'.join(KEPT_TAGS)}|ul|ol|li|br)\b)([a-z][a-z0-9]*)"
+_EDIT = r"""(?=[^>]*\sclass\s*=\s*(?:"[^"]*\bedit\b|'[^']*\bedit\b|edit\b))"""
+# Elements of one name inside each other that are taken out, innermost first.
+_DEPTH = 4
 
 
 def query_id(url: Column, name: str = "showforum") -> Column:
@@ -49,40 +54,59 @@ def _strip_tags(html: Column) -> Column:
 
 
 def _decode(text: Column) -> Column:
-    for entity, char in ENTITIES.items():
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return text
+    """Character references as the characters they stand for; unknown ones stay."""
+    named = F.from_json(F.lit(json.dumps({f"&{name};": chr(n) for name, n in name2codepoint.items()})), "map<string,string>")
+
+    def character(p: Column) -> Column:
+        digits = F.regexp_extract(p, "^&#[xX]?([0-9A-Fa-f]+);$", 1)
+        point = F.when(p.rlike("^&#[xX]"), F.conv(digits, 16, 10)).otherwise(digits).cast("bigint")
+        valid = (point > 0) & (point < 0x110000) & ~point.between(0xD800, 0xDFFF)
+        char = F.decode(F.unhex(F.lpad(F.hex(F.when(valid, point).otherwise(0xFFFD)), 8, "0")), "UTF-32")
+        return F.when(p.rlike("^&#"), char).when(p.rlike("^&.+;$"), F.coalesce(F.try_element_at(named, p), p)).otherwise(p)
+
+    return F.array_join(F.transform(F.regexp_extract_all(text, F.lit(_REFERENCES), F.lit(0)), character), "")
 
 
 def _number_items(list_html: Column) -> Column:
     """`1. item` lines of one list, then a blank line."""
-    items = F.regexp_extract_all(list_html, F.lit(r"(?is)<li(?:\s[^>]*)?>(.*?)</li>"), F.lit(1))
+    items = F.regexp_extract_all(list_html, F.lit(rf"(?is)<li{_ATTRIBUTES}>(.*?)</li>"), F.lit(1))
     lines = F.transform(
         items, lambda x, i: F.concat((i + 1).cast("string"), F.lit(". "), _strip_tags(x), F.lit("\n"))
     )
     return F.concat(F.array_join(lines, ""), F.lit("\n"))
 
 
-def flat_body(html: Column, container: str = "article") -> Column:
-    """Body text of a page whose container is flat: rules as for `nested_posts`, without nesting.
+def _without_others(text: Column, holding: str = "") -> Column:
+    """Takes elements of other names out with all they hold; with `holding`, only those around such a tag."""
+    inner = r"(?:(?!<\1\b).)*?"
+    for _ in range(_DEPTH):
+        text = F.regexp_replace(text, rf"(?is)<{_OTHER}{_ATTRIBUTES}>{inner}{holding}{inner if holding else ''}</\1>", "")
+    return text
+
+
+def _own_text(text: Column) -> Column:
+    """Text outside lists: a kept element that holds nothing but other elements falls back to their text."""
+    kept = "|".join(KEPT_TAGS)
+    only = rf"(?is)(<({kept}){_ATTRIBUTES}>)\s*<{_OTHER}{_ATTRIBUTES}>([^<]*)</\3>\s*(?=</\2>)"
+    return _strip_tags(_without_others(F.regexp_replace(text, only, "$1$4")))
+
+
+def body_text(html: Column, container: str = "article") -> Column:
+    """Text of the first container: kept elements and lists, in one chain of column expressions.
 
-    Comments, the headline and foreign elements go whole, <br> is a line end, lists are numbered, tags of
-    kept elements vanish. Everything happens in one chain of column expressions.
+    Comments and elements of class `edit` go, <br> is a line end, lists are numbered, and every other element goes
+    with all it holds, unless it is all that a kept element has.
     """
-    inner = F.regexp_extract(html, rf"(?is)<{container}(?:\s[^>]*)?>(.*?)</{container}>", 1)
+    inner = F.regexp_extract(html, rf"(?is)<{container}{_ATTRIBUTES}>(.*?)</{container}>", 1)
     text = F.regexp_replace(inner, r"(?s)<!--.*?-->", "")
-    text = F.regexp_replace(text, r"(?is)<h1(?:\s[^>]*)?>.*?</h1>", "")
-    for tag in ("div", "table", "script", "style", "b"):
-        text = F.regexp_replace(text, rf"(?is)<{tag}(?:\s[^>]*)?>.*?</{tag}>", "")
+    text = F.regexp_replace(text, rf"(?is)<([a-z][a-z0-9]*){_EDIT}[^>]*>.*?</\1>", "")
+    text = _without_others(text, r"<[uo]l\b")
     text = F.regexp_replace(text, r"(?i)<br\s*/?>", "\n")
     pieces = F.regexp_extract_all(
-        text, F.lit(r"(?is)<[uo]l(?:\s[^>]*)?>.*?</[uo]l>|<[^>]*>|[^<]+|<"), F.lit(0)
+        text, F.lit(rf"(?is)<[uo]l{_ATTRIBUTES}>.*?</[uo]l>|(?:(?!<[uo]l\b).)+|<[^>]*>"), F.lit(0)
     )
     kept = F.transform(
-        pieces,
-        lambda p: F.when(p.rlike(r"(?is)^<[uo]l(?:\s[^>]*)?>.*</[uo]l>$"), _number_items(p))
-        .when(p.rlike(r"(?s)^<[^>]*>$"), F.lit(""))
-        .otherwise(p),
+        pieces, lambda p: F.when(p.rlike(rf"(?is)^<[uo]l{_ATTRIBUTES}>.*</[uo]l>$"), _number_items(p)).otherwise(_own_text(p))
     )
     return tidy_body(_decode(F.array_join(kept, "")))
 
@@ -94,7 +118,7 @@ def page_posts(pages: DataFrame, container: str = "article") -> DataFrame:
         path_number(F.col("url")).alias("topic_id"),
         host(F.col("url")).alias("host"),
         headline(F.col("html")).alias("title"),
-        flat_body(F.col("html"), container).alias("body"),
+        body_text(F.col("html"), container).alias("body"),
     )
 
 
@@ -106,112 +130,3 @@ def host_quality(posts: DataFrame) -> DataFrame:
         F.count_if(F.coalesce("body", F.lit("")) == "").alias("n_no_body"),
         F.sum(F.length("body")).cast("bigint").alias("n_chars"),
     )
-
-
-class _BodyText(HTMLParser):
-    """Streams one page and collects the text the rules keep; no tree is built.
-
-    For every open kept element two texts grow: what the rules keep, and everything inside it as fallback.
-    """
-
-    _VOID = frozenset(("br", "hr", "img", "input", "meta", "link", "wbr", "col", "area", "base", "source"))
-
-    def __init__(self, container: str) -> None:
-        super().__init__(convert_charrefs=True)
-        self.container = container
-        self.open: list[tuple[str, str]] = []  # (tag, role)
-        self.texts: list[list[list[str]]] = []  # per kept element: [kept pieces, all pieces]
-        self.items: list[list[str]] = []
-        self.result: str | None = None
-
-    def _role(self, tag: str, classes: list[str]) -> str:
-        if not self.texts:
-            return "root" if tag == self.container and self.result is None else "outside"
-        if any(role in ("dropped", "list") for _, role in self.open):
-            return "item" if tag == "li" and self.open_list() else "inside"
-        if "edit" in classes:
-            return "dropped"
-        if tag in KEPT_TAGS:
-            return "kept"
-        return "list" if tag in ("ul", "ol") else "dropped"
-
-    def open_list(self) -> bool:
-        return any(role == "list" for _, role in self.open)
-
-    def handle_starttag(self, tag, attrs):
-        if tag in self._VOID:
-            if tag == "br" and self.texts and not any(r in ("dropped", "list") for _, r in self.open):
-                self.texts[-1][0].append("\n")
-            return
-        role = self._role(tag, (dict(attrs).get("class") or "").split())
-        self.open.append((tag, role))
-        if role in ("root", "kept"):
-            self.texts.append([[], []])
-        elif role == "list":
-            self.items = []
-        elif role == "item":
-            self.items.append([])
-
-    def handle_endtag(self, tag):
-        if not any(t == tag for t, _ in self.open):
-            return
-        while self.open:
-            closed, role = self.open.pop()
-            self._close(role)
-            if closed == tag:
-                return
-
-    def _close(self, role: str) -> None:
-        if role == "list":
-            lines = "".join(f"{i}. {''.join(x)}\n" for i, x in enumerate(self.items, 1))
-            self.texts[-1][0].append(lines + "\n")
-        elif role in ("root", "kept"):
-            kept, everything = map("".join, self.texts.pop())
-            if role == "root":
-                self.result = kept
-            else:
-                self.texts[-1][0].append(kept or everything)
-
-    def handle_data(self, data):
-        if not self.texts:
-            return
-        for text in self.texts:
-            text[1].append(data)
-        if self.open_list():
-            for item in self.items[-1:]:
-                item.append(data)
-        elif not any(role == "dropped" for _, role in self.open):
-            self.texts[-1][0].append(data)
-
-    def finish(self) -> str:
-        while self.open:
-            self._close(self.open.pop()[1])
-        return self.result or ""
-
-
-def _page_text(html: str | None, container: str) -> str | None:
-    if html is None:
-        return None
-    parser = _BodyText(container)
-    parser.feed(html)
-    parser.close()
-    return parser.finish()
-
-
-def nested_posts(pages: DataFrame, container: str = "article") -> DataFrame:
-    """As `page_posts`, for nested markup: each batch of pages is parsed in its own task.
-
-    A kept element whose content is dropped by the rules falls back to its full text.
-    """
-
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield batch.assign(raw=[_page_text(h, container) for h in batch.pop("html")])
-
-    raw = pages.select("page_id", "url", "html").mapInPandas(parse, "page_id bigint, url string, raw string")
-    return raw.select(
-        "page_id",
-        path_number(F.col("url")).alias("topic_id"),
-        host(F.col("url")).alias("host"),
-        tidy_body(F.col("raw")).alias("body"),
-    )
