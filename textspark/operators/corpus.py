@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from textspark.plans.lineage import durable
 from textspark.plans.ranking import row_index, top_k_per_group
+from textspark.plans.skew import heavy_keys, lookup_join
 
 
 def term_rows(df: DataFrame, tokens: Column, *keep: str) -> DataFrame:
@@ -69,16 +71,18 @@ def percent_ranks(df: DataFrame, values: list[str]) -> DataFrame:
     """Adds `<value>_pr`, the percent rank of each column, as percent_rank() would give.
 
     A percent rank depends on the value alone, so it is computed once per distinct value from running
-    counts over a range-partitioned index and joined back; no single task sorts the whole frame.
+    counts over a range-partitioned index and joined back; no single task sorts the whole frame. A value that
+    most rows share meets a broadcast slice of the ranks and does not move.
     """
+    df = durable(df)
     total = df.agg(F.count("*")).scalar()
     for value in values:
-        sizes = row_index(df.groupBy(value).agg(F.count("*").alias("_n")), [F.col(value)], "_i")
-        ranks = running_total(sizes, "_i", "_n").select(
+        sizes = durable(df.groupBy(value).agg(F.count("*").alias("_n")))
+        ranks = running_total(row_index(sizes, [F.col(value)], "_i"), "_i", "_n").select(
             value,
             F.when(total > 1, (F.col("_before") / (total - 1)).cast("double")).otherwise(0.0).alias(f"{value}_pr"),
         )
-        df = df.join(ranks, value)
+        df = lookup_join(df, durable(ranks), [value], heavy_keys(sizes, [value], "_n"))
     return df
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textspark.plans.lineage import durable
+from textspark.plans.skew import heavy_keys, lookup_join
 
 # monotonically_increasing_id keeps the partition number above this bit.
 _PARTITION_BIT = 33
@@ -48,14 +49,16 @@ def group_index(
 ) -> DataFrame:
     """0-based row number inside each group, and the group size, with hot groups spread over many tasks.
 
-    The rank is the global row number less the first one of the group; only one row per group is joined back.
+    The rank is the global row number less the first one of the group; only one row per group is joined back,
+    from a broadcast if these rows are few, else apart for the groups that own most rows.
     """
+
     placed = row_index(df, [*map(F.col, keys), *order], "_row")
-    firsts = placed.groupBy(*keys).agg(F.min("_row").alias("_first"), F.count("*").alias("_size"))
+    firsts = durable(placed.groupBy(*keys).agg(F.min("_row").alias("_first"), F.count("*").alias("_size")))
     kept = [(F.col("_row") - F.col("_first")).alias(name)]
     if size:
         kept.append(F.col("_size").alias(size))
-    return placed.join(firsts, list(keys)).select(*df.columns, *kept)
+    return lookup_join(placed, firsts, keys, heavy_keys(firsts, keys, "_size")).select(*df.columns, *kept)
 
 
 def top_k_per_group(
