@@ -34,7 +34,7 @@ COORDINATES = 64
 MATCHES = 30
 WIDE = 256
 WIDE_MATCHES = 156
-BLOCK = 2000
+BLOCK = 1000
 SMALL = 32
 # A signature is 64 whole minima and 192 single bytes, four to a number.
 PACKED = COORDINATES + (WIDE - COORDINATES) // 4
@@ -142,15 +142,8 @@ def _merged(unit, coordinate, doc, part, comp, mask, one_block, sig, best: bool)
     return tuple(np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, int), np.zeros(0, int))
 
 
-def _crossing(best: bool):
-    """For mapInArrow over rows sorted by unit: pairs (a, b) of documents that `_merged` finds."""
-
-    def pairs(batch: pa.RecordBatch) -> pa.RecordBatch:
-        unit, coordinate, doc, part, comp, mask, same = (np.asarray(batch.column(i)) for i in range(7))
-        sig = np.ascontiguousarray(np.asarray(batch.column(7).flatten()).reshape(-1, PACKED))
-        a, b = _merged(unit, coordinate, doc, part, comp, mask.view(np.uint64), same.astype(bool), sig, best)
-        both = np.unique(np.stack([np.minimum(doc[a], doc[b]), np.maximum(doc[a], doc[b])], axis=1), axis=0)
-        return pa.record_batch([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"])
+def _by_unit(fn):
+    """For mapInArrow over rows sorted by their first column: applies `fn` to batches of whole units."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: list[pa.RecordBatch] = []
@@ -160,14 +153,57 @@ def _crossing(best: bool):
             earlier = np.flatnonzero(unit != unit[-1])
             last = int(earlier[-1]) + 1 if len(earlier) else 0
             if last:
-                yield pairs(joined.slice(0, last))
+                yield fn(joined.slice(0, last))
             rest = [joined.slice(last)]
         if rest and rest[0].num_rows:
-            yield pairs(rest[0])
+            yield fn(rest[0])
 
     return run
 
 
+def _candidates(batch: pa.RecordBatch, best: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    unit, coordinate, doc, part, comp, mask, same = (np.asarray(batch.column(i)) for i in range(7))
+    sig = np.ascontiguousarray(np.asarray(batch.column(7).flatten()).reshape(-1, PACKED))
+    return unit, doc, comp, *_merged(unit, coordinate, doc, part, comp, mask.view(np.uint64), same.astype(bool), sig, best)
+
+
+def _best_pairs(batch: pa.RecordBatch) -> pa.RecordBatch:
+    _, doc, _, a, b = _candidates(batch, True)
+    both = np.unique(np.stack([np.minimum(doc[a], doc[b]), np.maximum(doc[a], doc[b])], axis=1), axis=0)
+    return pa.record_batch([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"])
+
+
+def _concerned(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """The documents of each unit that have a candidate in it."""
+    unit, doc, _, a, b = _candidates(batch, False)
+    rows = np.unique(np.concatenate([a, b]))
+    return pa.record_batch([pa.array(unit[rows]), pa.array(doc[rows])], ["unit", "doc"])
+
+
+def _links(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """Confirmed links of each unit, one for two components."""
+    _, doc, comp, a, b = _candidates(batch, False)
+    sets = batch.column(8)
+    values = np.asarray(sets.flatten())
+    sizes = np.asarray(pa.compute.list_value_length(sets)).astype(np.int64)
+    starts = np.cumsum(sizes) - sizes
+    order = np.argsort(a, kind="stable")
+    a, b = a[order], b[order]
+    linked = np.zeros(len(a), bool)
+    for lo, hi in zip(np.searchsorted(a, np.unique(a), "left"), np.searchsorted(a, np.unique(a), "right")):
+        one, others = a[lo], b[lo:hi]
+        own = values[starts[one] : starts[one] + sizes[one]]
+        step = np.cumsum(sizes[others])
+        at = np.arange(step[-1]) + np.repeat(starts[others] - (step - sizes[others]), sizes[others])
+        found = np.concatenate([[0], np.cumsum(np.isin(values[at], own))])
+        shared = found[step] - found[step - sizes[others]]
+        linked[lo:hi] = 100 * shared >= 75 * (sizes[one] + sizes[others] - shared)
+    a, b = a[linked], b[linked]
+    pair = np.stack([np.minimum(comp[a], comp[b]), np.maximum(comp[a], comp[b])], axis=1)
+    _, first = np.unique(pair, axis=0, return_index=True)
+    return pa.record_batch([pa.array(doc[a[first]]), pa.array(doc[b[first]])], ["a", "b"])
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) that hold 100 * intersection >= 75 * union on their whole sets."""
     one = sets.toDF("a", "_in_a")
@@ -226,8 +262,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     agreed = F.aggregate(F.zip_with(*whole, lambda x, y: (x == y).cast("int")), F.lit(0), lambda total, x: total + x)
     links = kept(_confirmed(near_hub.filter(agreed >= MATCHES).select("a", "b"), sets), "hub-links")
     grouped = _grouped(open_docs.select("doc"), links)
-    for best in (True, False):
-        found = kept(_confirmed(_pairs(open_docs, grouped, best), sets), "links")
+    for find in (_best_links, _other_links):
+        found = find(open_docs, grouped, sets)
         if not found.isEmpty():
             links = links.unionByName(found)
             grouped = _grouped(open_docs.select("doc"), links)
@@ -248,8 +284,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return out
 
 
-def _pairs(open_docs: DataFrame, grouped: DataFrame, best: bool) -> DataFrame:
-    """Pairs (a, b) of different components from the lists that still hold several, in blocks of bounded size."""
+def _blocks(open_docs: DataFrame, grouped: DataFrame) -> DataFrame:
+    """The lists that still hold several components, cut in blocks of bounded size: one row for each unit of two blocks."""
     placed = open_docs.join(grouped, "doc").select(
         "doc",
         "comp",
@@ -263,7 +299,7 @@ def _pairs(open_docs: DataFrame, grouped: DataFrame, best: bool) -> DataFrame:
         .filter("_low < _high")
         .select("key", F.ceil(F.col("_n") / BLOCK).cast("int").alias("blocks"))
     )
-    blocks = (
+    return (
         placed.join(unsettled, "key")
         .withColumn("part", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
         .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -278,9 +314,22 @@ def _pairs(open_docs: DataFrame, grouped: DataFrame, best: bool) -> DataFrame:
             "signature",
         )
     )
-    parts = int(open_docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    found = blocks.repartition(parts, "unit").sortWithinPartitions("unit").mapInArrow(_crossing(best), "a long, b long")
-    return kept(found.distinct(), "crossing")
+
+
+def _together(rows: DataFrame) -> DataFrame:
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "unit").sortWithinPartitions("unit")
+
+
+def _best_links(open_docs: DataFrame, grouped: DataFrame, sets: DataFrame) -> DataFrame:
+    found = _together(_blocks(open_docs, grouped)).mapInArrow(_by_unit(_best_pairs), "a long, b long")
+    return kept(_confirmed(kept(found.distinct(), "best"), sets), "links")
+
+
+def _other_links(open_docs: DataFrame, grouped: DataFrame, sets: DataFrame) -> DataFrame:
+    blocks = _blocks(open_docs, grouped)
+    concerned = kept(_together(blocks).mapInArrow(_by_unit(_concerned), "unit long, doc long").distinct(), "concerned")
+    rows = blocks.join(concerned, ["unit", "doc"]).join(sets, "doc").select(*blocks.columns, "shingles")
+    return kept(_together(rows).mapInArrow(_by_unit(_links), "a long, b long"), "links")
 
 
 def _grouped(nodes: DataFrame, links: DataFrame) -> DataFrame:
