@@ -120,7 +120,7 @@ def repeated_windows(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> tup
     dropped(outline)
     named = with_fingerprint(docs.select(F.col("doc_id").cast("long"), "text"))
     named = named.select("doc_id", F.col("_fp").alias("fp"), F.col("_text_read").alias("text"))
-    texts = kept(named.join(hits, ["doc_id", "fp"]).select("doc_id", "fp", "text", "hits"), "suffix-texts")
+    texts = kept(named.join(hits.hint("merge"), ["doc_id", "fp"]).select("doc_id", "fp", "text", "hits"), "suffix-texts")
     rows = suffix_rows(texts, span, gram)
     right = kept(neighbour_matches(rows, "ahead", "r", span - gram), "ahead")
     both = neighbour_matches(right, "behind", "l", span - gram)
@@ -152,9 +152,9 @@ def repeated_windows(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> tup
 
         return window_rows(batch.column(2), doc, fp, span, chosen)
 
-    found = texts.select("doc_id", "fp", "text").join(reaches, ["doc_id", "fp"]).mapInArrow(by_slices(run), WINDOW_ROW)
+    found = texts.select("doc_id", "fp", "text").join(reaches.hint("merge"), ["doc_id", "fp"]).mapInArrow(by_slices(run), WINDOW_ROW)
     windows = kept(found, "windows")
-    later = owned(windows).filter(F.col("doc_id") > F.col("owner")).select("doc_id", "fp", "pos")
+    later = owned(windows, places=False).filter(F.col("doc_id") > F.col("owner")).select("doc_id", "fp", "pos")
     runs = kept(islands(later, [], F.lit(0)), "runs")
     dropped(hits, texts, reaches, windows)
     return runs, copied
