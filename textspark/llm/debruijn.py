@@ -50,7 +50,7 @@ def _candidates(docs: DataFrame, hits: DataFrame, length: int, gram: int) -> Dat
         return window_rows(batch.column(2), doc, fp, length, chosen)
 
     texts = with_fingerprint(docs.select(F.col("doc_id").cast("long"), "text")).select("doc_id", F.col("_fp").alias("fp"), F.col("_text_read").alias("text"))
-    return texts.join(hits, ["doc_id", "fp"]).mapInArrow(by_slices(run), WINDOW_ROW)
+    return texts.join(hits.hint("merge"), ["doc_id", "fp"]).mapInArrow(by_slices(run), WINDOW_ROW)
 
 
 def repeated_edges(docs: DataFrame, k: int = K, gram: int = GRAM) -> tuple[DataFrame, DataFrame]:

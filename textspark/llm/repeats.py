@@ -99,20 +99,20 @@ def with_fingerprint(docs: DataFrame) -> DataFrame:
     return named.mapInArrow(by_slices(run, "_text_read"), named.schema)
 
 
-def owned(windows: DataFrame) -> DataFrame:
-    """Of (a, b, doc_id, fp, pos): the windows that occur under several doc_ids, with the smallest place of each.
+def owned(windows: DataFrame, places: bool = True) -> DataFrame:
+    """Of (a, b, doc_id, fp, pos): the windows that occur under several doc_ids, with their smallest doc_id as `owner`.
 
-    Adds owner (doc_id), owner_fp and owner_pos. A window in every document costs one row per task before the shuffle;
-    joining the owners back is left to Spark, which splits a hot window's rows.
+    `places` adds the smallest place of each (owner_fp, owner_pos). A window in every document costs one row per task
+    before the shuffle; the owners are written first, so that the join back is one that splits a hot window's rows.
     """
-    place = F.struct("doc_id", "fp", "pos")
-    owners = (
-        windows.groupBy("a", "b")
-        .agg(F.min(place).alias("_o"), F.max("doc_id").alias("_last"))
-        .filter("_o.doc_id < _last")
-        .select("a", "b", F.col("_o.doc_id").alias("owner"), F.col("_o.fp").alias("owner_fp"), F.col("_o.pos").alias("owner_pos"))
-    )
-    return windows.join(owners, ["a", "b"]).drop("a", "b")
+    first = F.min(F.struct("doc_id", "fp", "pos")) if places else F.min("doc_id")
+    found = windows.groupBy("a", "b").agg(first.alias("_o"), F.max("doc_id").alias("_last"))
+    if places:
+        columns = [F.col("_o.doc_id").alias("owner"), F.col("_o.fp").alias("owner_fp"), F.col("_o.pos").alias("owner_pos")]
+        owners = found.filter("_o.doc_id < _last").select("a", "b", *columns)
+    else:
+        owners = found.filter("_o < _last").select("a", "b", F.col("_o").alias("owner"))
+    return windows.join(kept(owners, "owners"), ["a", "b"]).drop("a", "b")
 
 
 def window_rows(texts: pa.Array, doc: np.ndarray, fp: np.ndarray, length: int, chosen) -> pa.RecordBatch | None:
@@ -161,7 +161,8 @@ def without_spans(docs: DataFrame, spans: DataFrame, copied: DataFrame, length:
     cut = cut.unionByName(whole).withColumnRenamed("fp", "_fp").withColumnRenamed("doc_id", "_id")
     base = [c for c in docs.columns if c not in ("n_words", "n_removed", "kept_sha256")]
     named = with_fingerprint(docs.select(*base))
-    joined = named.join(cut, (F.col("doc_id").cast("long") == F.col("_id")) & (named["_fp"] == cut["_fp"]), "left").select(*base, "_text_read", "_spans")
+    # Text is shuffled whatever the size: a broadcast of the spans would grow with the corpus.
+    joined = named.join(cut.hint("merge"), (F.col("doc_id").cast("long") == F.col("_id")) & (named["_fp"] == cut["_fp"]), "left").select(*base, "_text_read", "_spans")
     text_at = base.index("text")
     kinds = ", ".join(f"`{f.name}` {'string' if f.name == 'text' else f.dataType.simpleString()}" for f in joined.select(*base).schema.fields)
 
