@@ -53,8 +53,8 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Adds token_ids, n_tokens, token_sha256, parity and round_trip."""
-    return encoding.encoded(docs)
+    """Adds token_ids, n_tokens, token_sha256, parity and round_trip. Written here, in batches of bounded size."""
+    return storage.kept(encoding.encoded(docs), "tokens")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -31,7 +31,7 @@ from textspark.llm.storage import kept, lists, slices
 
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARKER = "▁"
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 _NORMAL, _UNKNOWN, _BYTE = 1, 2, 6
 _UNIGRAM, _BPE = 1, 2
 
@@ -100,21 +100,28 @@ class _Encoder:
         self.tokenizer = Tokenizer.from_str(tokenizer)
         self.pieces = sentencepiece.SentencePieceProcessor(model_proto=model)
         self.by_word = by_word
-        self.bare = Tokenizer.from_str(tokenizer)
-        self.bare.normalizer = normalizers.Sequence([])
+        self.normal = self.tokenizer.normalizer.normalize_str if self.tokenizer.normalizer else str
+        if by_word:
+            # Words are normalised with their text, before they are cut.
+            self.tokenizer.normalizer = normalizers.Sequence([])
         self.marker = self.pieces.piece_to_id(MARKER)
-        self._forget()
-
-    def _forget(self) -> None:
         self.known: dict[str, int] = {}
         self.ids: list[list[int]] = []
         self.good: list[int] = []
+        self.used = np.zeros(0, np.int64)
+
+    def _forget(self) -> None:
+        """Forgets all words but those of the last slice."""
+        words, keep = list(self.known), self.used.tolist()
+        self.known = {words[i]: k for k, i in enumerate(keep)}
+        self.ids = [self.ids[i] for i in keep]
+        self.good = [self.good[i] for i in keep]
 
     def _learn(self, words: list[str]) -> None:
-        found = [e.ids for e in self.bare.encode_batch_fast(words, add_special_tokens=False)]
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
         # The library adds the leading marker itself, so it gets the word without one.
         theirs = self.pieces.encode([w[1:] for w in words], num_threads=1)
-        back = self.bare.decode_batch(found, skip_special_tokens=False)
+        back = self.tokenizer.decode_batch(found, skip_special_tokens=False)
         for word, ours, expected, text in zip(words, found, theirs, back):
             if word == MARKER:
                 expected = [self.marker]
@@ -131,8 +138,7 @@ class _Encoder:
             return flat, np.cumsum([len(x) for x in ids], dtype=np.int64), np.array(parity, bool), np.array(back, bool)
         if len(self.ids) > REMEMBERED:
             self._forget()
-        normal = self.tokenizer.normalizer.normalize_str
-        split = [_MARKED.findall(normal(t)) if t else [] for t in texts]
+        split = [_MARKED.findall(self.normal(t)) if t else [] for t in texts]
         new = list(dict.fromkeys(w for words in split for w in words if w not in self.known))
         if new:
             self._learn(new)
@@ -140,6 +146,7 @@ class _Encoder:
         known = self.known
         at = np.fromiter((known[w] for words in split for w in words), np.int64, int(sizes.sum()))
         used, at = np.unique(at, return_inverse=True)
+        self.used = used
         lengths = np.array([len(self.ids[i]) for i in used.tolist()], np.int64)
         flat = np.fromiter(chain.from_iterable(self.ids[i] for i in used.tolist()), np.int32, int(lengths.sum()))
         begin = np.cumsum(lengths) - lengths
