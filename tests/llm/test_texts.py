@@ -210,3 +210,44 @@ def test_license_notices(corpus, edge_rows):
     got = sorted((r.doc_id, r.line, r.license, r.n_different) for r in licenses.notices(corpus(*rows, rows[1])).collect())
     assert got == [(10, 3, "MIT", 0), (11, 2, "MIT-line", 0), (11, 2, "MIT-line", 0), (11, 4, "All-Rights-Reserved", 0), (11, 4, "All-Rights-Reserved", 0), (12, 1, "MIT", 2)]
     assert licenses.notices(corpus()).collect() == []
+
+
+def test_every_context_counts_and_answers_are_exact(corpus):
+    """Log-odds from pair counts against a dictionary, and contexts beyond the common words."""
+    rng = random.Random(9)
+    texts = [" ".join(f"w{min(rng.randrange(9000), rng.randrange(9000))}" for _ in range(400)) for _ in range(60)]
+    words = split_words(pa.array(texts))
+    tokens, n = np.unique(words.hash.view(np.int64), return_counts=True)
+    order = np.argsort(-n, kind="stable")[:5000]
+    vocab = mixing.vocabulary(tokens[order], n[order], int(n.sum()) + len(texts), np.ones(256, np.int64))
+    u = mixing.units(words, vocab)
+    before = {}
+    hashes = np.insert(words.hash, words.first[1:], 1)
+    for i in np.flatnonzero(~u.spelled):
+        before.setdefault(int(u.contexts[1][i]), set()).add(int(hashes[i - 1]) if u.place[i] else None)
+    assert len(before) > 5000 and all(len(x) == 1 for x in before.values())
+    keys, asked, which = mixing.pairs(u, vocab)
+    counts = np.bincount(which)
+    odds = mixing.path_odds(keys, keys, np.concatenate([[0], np.cumsum(counts)]), vocab)
+    _, symbol, ends = mixing.pair_paths(keys, vocab)
+    code, went = vocab.code, Counter()
+    for key, s, c in zip((keys >> np.uint64(mixing.LEAF_BITS)).tolist(), symbol.tolist(), counts.tolist()):
+        for k in range(code.start[s], code.start[s] + code.length[s]):
+            went[key, int(code.node[k]), int(code.bit[k])] += c
+    for p in rng.sample(range(len(keys)), 3000):
+        s, key = symbol[p], int(keys[p] >> np.uint64(mixing.LEAF_BITS))
+        own = odds[ends[p] - code.length[s] : ends[p]]
+        nodes = code.node[code.start[s] : code.start[s] + code.length[s]].tolist()
+        want = [math.log((went[key, d, 1] + mixing.PRIOR) / (went[key, d, 0] + mixing.PRIOR)) for d in nodes]
+        assert np.allclose(own, np.clip(want, -mixing.CLIP, mixing.CLIP), atol=1e-5)
+
+
+def test_rare_contexts_predict(corpus):
+    """What follows a word beyond the first 4,096 is known from the rows that held it."""
+    partner = lambda k: f"a{k} b{k * 7919 % 6000}"
+    train = [i for i in range(4000) if python_remainder(i, 7) != 2]
+    held = [i for i in range(4000) if python_remainder(i, 7) == 2][:2]
+    rows = [(i, " ".join(partner((j * 40 + k) % 6000) for k in range(40))) for j, i in enumerate(train[:600])]
+    rows += [(held[0], " ".join(partner(k) for k in range(5000, 5030))), (held[1], " ".join(f"a{k} b{k * 7919 % 6000 + 1}" for k in range(5000, 5030)))]
+    got = {r.doc_id: r for r in mixing.language_scores(corpus(*rows)).collect()}
+    assert got[held[0]].score > 0.2 * got[held[1]].score and got[held[0]].score > 0.2 * got[held[0]].base_score
