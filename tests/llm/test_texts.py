@@ -2,6 +2,7 @@
 
 import math
 import random
+import textwrap
 from collections import Counter
 
 import numpy as np
@@ -251,3 +252,27 @@ def test_rare_contexts_predict(corpus):
     rows += [(held[0], " ".join(partner(k) for k in range(5000, 5030))), (held[1], " ".join(f"a{k} b{k * 7919 % 6000 + 1}" for k in range(5000, 5030)))]
     got = {r.doc_id: r for r in mixing.language_scores(corpus(*rows)).collect()}
     assert got[held[0]].score > 0.2 * got[held[1]].score and got[held[0]].score > 0.2 * got[held[0]].base_score
+
+
+def broken(text, width, mark):
+    """Lines of at most `width` characters, each after a comment mark."""
+    return "\n".join(f"{mark}{line}" for line in textwrap.wrap(text, width, break_long_words=False, break_on_hyphens=False))
+
+
+@pytest.mark.parametrize("mark", ["", " * ", "// ", "# "])
+@pytest.mark.parametrize("width", [32, 50, 62, 72])
+def test_notices_in_their_line_breaks(mark, width):
+    scanner = licenses._Scanner(licenses.TEMPLATES)
+    for name, template in licenses.TEMPLATES.items():
+        text = f"code = 1\n{mark}\n{broken(template, width, mark)}\n{mark}\nmore = 2"
+        got = [(line, found, n) for line, found, _, _, n, _ in scanner.scan(text)]
+        assert got == [(3, name, 0)], (name, got)
+
+
+def test_published_line_breaks():
+    scanner = licenses._Scanner(licenses.TEMPLATES)
+    go = "// Use of this source code is governed by a BSD-style\n// license that can be found in the LICENSE file."
+    isc = "/*\n * Permission to use, copy, modify, and/or distribute this software for any\n * purpose with or without fee is hereby granted, provided that the above\n * copyright notice and this permission notice appear in all copies.\n */"
+    mpl = "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not distributed with this\nfile, You can obtain one at http://mozilla.org/MPL/2.0/."
+    found = [[(line, name, n) for line, name, _, _, n, _ in scanner.scan(t)] for t in (go, isc, mpl)]
+    assert found == [[(1, "BSD-line", 0)], [(2, "ISC", 0)], [(1, "MPL-2.0", 0)]]
