@@ -276,3 +276,33 @@ def test_published_line_breaks():
     mpl = "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not distributed with this\nfile, You can obtain one at http://mozilla.org/MPL/2.0/."
     found = [[(line, name, n) for line, name, _, _, n, _ in scanner.scan(t)] for t in (go, isc, mpl)]
     assert found == [[(1, "BSD-line", 0)], [(2, "ISC", 0)], [(1, "MPL-2.0", 0)]]
+
+
+def test_notices_that_share_a_line():
+    scanner = licenses._Scanner(licenses.TEMPLATES)
+    names = lambda text: sorted(name for _, name, *_ in scanner.scan(text))
+    rights, lines = "Copyright 2020 Jane Doe. All rights reserved. ", ["Apache-2.0-line", "CC-BY-4.0", "GPL-3.0-line"]
+    for name in lines:
+        assert names(rights + licenses.TEMPLATES[name]) == sorted(["All-Rights-Reserved", name])
+    text = " ".join(["All rights reserved.", *(licenses.TEMPLATES[n] for n in [*lines, "MIT", "ISC", "Unlicense"]), "All rights reserved."])
+    assert names(text) == sorted(["All-Rights-Reserved"] * 2 + [*lines, "MIT", "ISC", "Unlicense"])
+
+
+def test_distances_against_the_matrix():
+    rng = random.Random(10)
+    for _ in range(200):
+        a, b = ([rng.choice("abcd") for _ in range(n)] for n in (rng.randrange(1, 9), rng.randrange(1, 14)))
+
+        def slow(x, y):
+            row = list(range(len(y) + 1))
+            for i, c in enumerate(x, 1):
+                row, old = [i], row
+                for j, d in enumerate(y, 1):
+                    row.append(min(old[j - 1] + (c != d), old[j] + 1, row[-1] + 1))
+            return row[-1]
+
+        assert list(licenses.distances(a, b, True)) == [slow(a, b[:e]) for e in range(1, len(b) + 1)]
+        assert list(licenses.distances(a, b, False)) == [min(slow(a, b[s:e]) for s in range(e + 1)) for e in range(1, len(b) + 1)]
+        most = rng.randrange(3)
+        for low, high, n in licenses.laid_on(a, b, most):
+            assert slow(a, b[low:high]) == n <= most and len(licenses.differing(a, b[low:high])) >= n
