@@ -195,6 +195,24 @@ def test_svd_rows_are_unit_and_signed(spark):
     assert len(rows) == 12 and all(abs(sum(x * x for x in r.vector) - 1) < 1e-9 for r in rows)
 
 
+def test_fits_show_predictions_and_explanations(spark, tmp_path):
+    """Every held-out row is predicted, every document explained, and a label without held-out rows is not called accurate."""
+    words = {"xx": "aa bb cc dd", "yy": "ee ff gg hh", "zz": "ii jj kk ll"}
+    rows = [(i, f"{w} {w.split()[i % 4]}", k) for k, (lang, w) in enumerate(words.items()) for i in range(20 * k, 20 * k + (4 if lang == "zz" else 20))]
+    rows = [(i, t, list(words)[k]) for i, t, k in rows]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    docs.withColumns({"source": F.lit("s"), "n_chars": F.length("text").cast("bigint")}).write.parquet(f"{tmp_path}/documents.parquet")
+    run = lambda name: QUERIES[name](spark, str(tmp_path)).collect()
+    assert {r.label: r.accurate for r in run("logreg_fit")} == {"xx": True, "yy": True, "zz": None}
+    assert sorted((r.label, r.predicted) for r in run("logreg_fit_predictions")) == [("xx", "xx")] * 2 + [("yy", "yy")] * 2
+    report = sorted(tuple(r) for r in run("logreg_fit_report"))
+    assert report == [("xx", 18, 2, 1.0, "xx", 2), ("yy", 18, 2, 1.0, "yy", 2), ("zz", 4, 0, None, None, None)]
+    sums = run("explain_sums")
+    assert len({r.doc_id for r in sums}) == len(rows) and len(sums) == 3 * len(rows)
+    assert all(abs(r["sum"] - r.score) < 1e-6 for r in sums)
+    assert {r.doc_id for r in run("explain_terms")} == {i for i, _, _ in rows}
+
+
 # Queries and plans -------------------------------------------------------------------------------------------
 load_all()
 PYTHON_QUERIES = {"custom_tokenizer", "map_column"}

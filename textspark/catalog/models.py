@@ -116,12 +116,28 @@ def _words(min_df=3.0, max_df=0.5):
     return learn.tfidf_stages(stage, min_df, max_df)
 
 
+def _predicted(split, model):
+    """(doc_id, label, predicted) of the held-out rows."""
+    return learn.predict(model, split.filter("is_test").select("doc_id", "text", "label")).select("doc_id", "label", "predicted")
+
+
+def _sizes(split):
+    return split.groupBy("label").agg(F.count_if(~F.col("is_test")).alias("n_train"), F.count_if("is_test").alias("n_test"))
+
+
 def _judged(split, model, least=0.9):
-    """(label, n_train, n_test, accurate): sizes, and whether recall on the held-out rows reaches `least`."""
-    hits = learn.predict(model, split.filter("is_test").select("doc_id", "text", "label"))
-    recall = hits.groupBy("label").agg(F.avg((F.col("label") == F.col("predicted")).cast("double")).alias("_recall"))
-    sizes = split.groupBy("label").agg(F.count_if(~F.col("is_test")).alias("n_train"), F.count_if("is_test").alias("n_test"))
-    return sizes.join(recall, "label", "left").withColumn("accurate", F.coalesce(F.col("_recall") >= least, F.lit(True))).drop("_recall")
+    """(label, n_train, n_test, accurate): sizes, and whether recall on the held-out rows reaches `least`; null without such rows."""
+    hit = (F.col("label") == F.col("predicted")).cast("double")
+    recall = _predicted(split, model).groupBy("label").agg((F.avg(hit) >= least).alias("accurate"))
+    return _sizes(split).join(recall, "label", "left")
+
+
+def _report(split, model):
+    """(label, n_train, n_test, recall, predicted, n): each class's confusions on the held-out rows; null where it has none."""
+    counts = evaluate.pair_counts(_predicted(split, model), prediction="predicted").withColumnRenamed("prediction", "predicted")
+    hits = F.sum(F.when(F.col("label") == F.col("predicted"), F.col("n")).otherwise(0))
+    recall = counts.groupBy("label").agg((hits / F.sum("n")).alias("recall"))
+    return _sizes(split).join(recall, "label", "left").join(counts, "label", "left").select("label", "n_train", "n_test", "recall", "predicted", "n")
 
 
 def _logistic(split, features):
@@ -129,38 +145,49 @@ def _logistic(split, features):
     return learn.text_classifier(train, [], features, learn.logistic_regression(train.count(), ITERATIONS)), train
 
 
-@query("logreg_fit", _judged_sql())
-def logreg_fit(spark, sf):
-    split = _split(spark, sf)
-    return _judged(split, _logistic(split, _words())[0])
+def _logreg(split):
+    return _logistic(split, _words())[0]
 
 
-@query("svm_fit", _judged_sql())
-def svm_fit(spark, sf):
-    split = _split(spark, sf)
+def _svm(split):
     train = _train(split)
-    return _judged(split, learn.text_classifier(train, [], _words(), learn.linear_svm(train.count(), 20)))
+    return learn.text_classifier(train, [], _words(), learn.linear_svm(train.count(), 20))
 
 
-@query("pipeline_fit", _judged_sql())
-def pipeline_fit(spark, sf):
+def _pipeline(split):
     """URL removal, character 4-gram TF-IDF and a linear model in one fitted object, applied to unseen text."""
-    split = _split(spark, sf)
     train = _train(split)
     cleaning = [CleanerStage(inputCols=["text"], outputCols=["text"], steps=[["stop_patterns", {"stop_patterns": [URL]}]])]
     chars = TokenStage(inputCol="text", outputCol="tokens", analyzer="char", low=4, high=4)
     features = learn.tfidf_stages(chars, 3.0, 0.5)
-    return _judged(split, learn.text_classifier(train, cleaning, features, learn.logistic_regression(train.count(), ITERATIONS)))
+    return learn.text_classifier(train, cleaning, features, learn.logistic_regression(train.count(), ITERATIONS))
 
 
-@query("vec_classifier", _judged_sql())
-def vec_classifier(spark, sf):
-    split = _split(spark, sf)
+def _vectors(split):
     train = _train(split)
     n = train.count()
     stage = TokenStage(inputCol="text", outputCol="tokens", analyzer="raw")
     features = [stage, *learn.embedding_stages("tokens", 32, 5, learn.embedding_partitions(n))]
-    return _judged(split, learn.text_classifier(train, [], features, learn.logistic_regression(n, ITERATIONS)))
+    return learn.text_classifier(train, [], features, learn.logistic_regression(n, ITERATIONS))
+
+
+def _register(name, fit):
+    """The query with a twin, and beside it the held-out predictions and the confusions of the same fit."""
+
+    def shown(show):
+        def run(spark, sf):
+            split = _split(spark, sf)
+            return show(split, fit(split))
+
+        return run
+
+    query(name, _judged_sql())(shown(_judged))
+    query(f"{name}_predictions")(shown(_predicted))
+    query(f"{name}_report")(shown(_report))
+
+
+for _name, _fit in (("logreg_fit", _logreg), ("svm_fit", _svm), ("pipeline_fit", _pipeline), ("vec_classifier", _vectors)):
+    _register(_name, _fit)
 
 
 @query("train_word2vec")
@@ -176,16 +203,37 @@ def top_features(spark, sf):
     return learn.top_features(learn.coefficients(model, train), 10)
 
 
-@query("explain_rows", f"WITH {_SPLIT_SQL} SELECT doc_id, 3::BIGINT AS classes, true AS exact FROM split WHERE is_test")
-def explain_rows(spark, sf):
-    """Held-out documents: whether the contributions of each best class add up to its raw score."""
+def _explained(spark, sf, only=None):
+    """(contributions, raw scores) of the documents for their best classes, by a model that only saw the train split."""
     split = _split(spark, sf)
     model, _ = _logistic(split, _words())
-    test = split.filter("is_test").select("doc_id", "text", "label")
+    docs = (split if only is None else split.filter(only)).select("doc_id", "text", "label")
     tokens_of = model.stages[0].column(F.col("text"))
-    sums = learn.explain_linear(model, test, "doc_id", tokens_of, 3).groupBy("doc_id", "label").agg(F.sum("contribution").alias("_sum"))
-    both = sums.join(learn.class_scores(model, test, "doc_id"), ["doc_id", "label"])
-    return both.groupBy("doc_id").agg(F.count("*").alias("classes"), F.bool_and(F.abs(F.col("_sum") - F.col("score")) < 1e-6).alias("exact"))
+    return learn.explain_linear(model, docs, "doc_id", tokens_of, 3), learn.class_scores(model, docs, "doc_id")
+
+
+def _summed(contributions, scores):
+    sums = contributions.groupBy("doc_id", "label").agg(F.sum("contribution").alias("sum"))
+    return sums.join(scores, ["doc_id", "label"])
+
+
+@query("explain_terms")
+def explain_terms(spark, sf):
+    """(doc_id, label, term, contribution) of every document's best classes."""
+    return _explained(spark, sf)[0]
+
+
+@query("explain_sums")
+def explain_sums(spark, sf):
+    """(doc_id, label, sum, score) of every document's best classes: the contributions' sum and the classifier's raw score."""
+    return _summed(*_explained(spark, sf))
+
+
+@query("explain_rows", f"WITH {_SPLIT_SQL} SELECT doc_id, 3::BIGINT AS classes, true AS exact FROM split WHERE is_test")
+def explain_rows(spark, sf):
+    """Held-out documents: whether the contributions of each best class add up to its raw score."""
+    both = _summed(*_explained(spark, sf, "is_test"))
+    return both.groupBy("doc_id").agg(F.count("*").alias("classes"), F.bool_and(F.abs(F.col("sum") - F.col("score")) < 1e-6).alias("exact"))
 
 
 def _projected(spark, sf):
