@@ -63,6 +63,19 @@ def test_pages(spark):
     assert rows[3].body == "aH2H1only\xa9\xe9\U0001f600&nope;"
 
 
+def test_pages_nest_to_any_depth(column):
+    deep = lambda n, tag="div": "".join(f"<{tag}>{i}" for i in range(n)) + f"</{tag}>" * n
+    pages_of = {
+        f"<article>x{deep(5)}y{deep(40)}z</article>": "xyz",
+        f"<article><p>{deep(12, 'b')}</p></article>": "".join(map(str, range(12))),
+        "<article><span>a<span>b<span>c<span>d<span>e<span>f</span></span></span></span></span></span></article>": "abcdef",
+        "<article>x<div class='edit'>a<div>b</div>c</div>y</article>": "xy",
+        "<article><ul><li>a<ul><li>b</li></ul></li><li>c</li></ul>z</article>": "1. ab\n2. b\n3. c\n\nz",
+        "<article>x<article>in</article><div>open<p>q</div>y<a title='1>0'>w</a><script>if (a<b) {}</script> 1 < 2</article>": "xyw 1 < 2",
+    }
+    assert column(pages.body_text, *pages_of) == list(pages_of.values())
+
+
 def test_ids_from_urls(column):
     urls = ("http://a/index.php?showforum=12&page=3", "http://a/x")
     assert column(pages.query_id, *urls) == [12, None]

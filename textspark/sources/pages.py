@@ -16,11 +16,15 @@ KEPT_TAGS = ("h1", "h2", "h3", "h4", "h5", "h6", "p", "strong", "a", "em", "span
 # A reference by name, by number or by hexadecimal number; other text; a bare ampersand.
 _REFERENCES = r"&[A-Za-z][A-Za-z0-9]*;|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};|[^&]+|&"
 _ATTRIBUTES = r"(?:\s[^>]*)?"
-# An element of another name: it goes with all it holds.
-_OTHER = rf"(?!(?:{'|'.join(KEPT_TAGS)}|ul|ol|li|br)\b)([a-z][a-z0-9]*)"
 _EDIT = r"""(?=[^>]*\sclass\s*=\s*(?:"[^"]*\bedit\b|'[^']*\bedit\b|edit\b))"""
-# Elements of one name inside each other that are taken out, innermost first.
-_DEPTH = 4
+# Elements without an end tag.
+_VOID = "^(?:area|base|br|col|embed|hr|img|input|link|meta|param|source|track|wbr)$"
+# Comments, scripts and styles with all they hold, tags (a > in quotes does not end one), and text.
+_PIECES = (
+    r"""(?is)<!--.*?-->|<(script|style)\b[^>]*>.*?</\1\s*>|</?[a-z](?:[^>"']++|"[^"]*+"|'[^']*+')*+>|</?[a-z][^>]*>"""
+    r"""|<[!?][^>]*>|[^<]+|<"""
+)
+_FRAME = "struct<name:string,kind:string,item:int,own:string,whole:string>"
 
 
 def query_id(url: Column, name: str = "showforum") -> Column:
@@ -67,48 +71,86 @@ def _decode(text: Column) -> Column:
     return F.array_join(F.transform(F.regexp_extract_all(text, F.lit(_REFERENCES), F.lit(0)), character), "")
 
 
-def _number_items(list_html: Column) -> Column:
-    """`1. item` lines of one list, then a blank line."""
-    items = F.regexp_extract_all(list_html, F.lit(rf"(?is)<li{_ATTRIBUTES}>(.*?)</li>"), F.lit(1))
-    lines = F.transform(
-        items, lambda x, i: F.concat((i + 1).cast("string"), F.lit(". "), _strip_tags(x), F.lit("\n"))
+def _parsed(piece: Column) -> Column:
+    """What a piece is: text, a start or an end of an element, or nothing; with the element's name and kind."""
+    name = F.lower(F.regexp_extract(piece, "^</?([A-Za-z][A-Za-z0-9]*)", 1))
+    kind = (
+        F.when(piece.rlike(rf"(?is)^<[a-z][a-z0-9]*{_EDIT}"), "edit")
+        .when(name.isin(*KEPT_TAGS), "kept").when(name.isin("ul", "ol"), "list").when(name == "br", "br").otherwise("other")
     )
-    return F.concat(F.array_join(lines, ""), F.lit("\n"))
+    empty = name.rlike(_VOID) | piece.endswith("/>")
+    what = (
+        F.when(piece.rlike(r"(?i)^<(?:[!?]|(?:script|style)\b)"), "nothing")
+        .when(piece.rlike("^</[A-Za-z]"), "end").when(piece.rlike("^<[A-Za-z]"), F.when(empty, "empty").otherwise("start")).otherwise("text")
+    )
+    return F.struct(piece.alias("text"), name.alias("name"), kind.alias("kind"), what.alias("what"))
 
 
-def _without_others(text: Column, holding: str = "") -> Column:
-    """Takes elements of other names out with all they hold; with `holding`, only those around such a tag."""
-    inner = r"(?:(?!<\1\b).)*?"
-    for _ in range(_DEPTH):
-        text = F.regexp_replace(text, rf"(?is)<{_OTHER}{_ATTRIBUTES}>{inner}{holding}{inner if holding else ''}</\1>", "")
-    return text
+def _state(stack: Column, items: Column, done: Column) -> Column:
+    return F.struct(stack.alias("stack"), items.alias("items"), done.alias("done"))
 
 
-def _own_text(text: Column) -> Column:
-    """Text outside lists: a kept element that holds nothing but other elements falls back to their text."""
-    kept = "|".join(KEPT_TAGS)
-    only = rf"(?is)(<({kept}){_ATTRIBUTES}>)\s*<{_OTHER}{_ATTRIBUTES}>([^<]*)</\3>\s*(?=</\2>)"
-    return _strip_tags(_without_others(F.regexp_replace(text, only, "$1$4")))
+def _frame(name: Column, kind: Column, item: Column, own: Column, whole: Column) -> Column:
+    return F.struct(name.alias("name"), kind.alias("kind"), item.alias("item"), own.alias("own"), whole.alias("whole")).cast(_FRAME)
 
 
-def body_text(html: Column, container: str = "article") -> Column:
-    """Text of the first container: kept elements and lists, in one chain of column expressions.
+def _added(stack: Column, own: Column, whole: Column) -> Column:
+    """The innermost open element with more text."""
+    top = F.element_at(stack, -1)
+    more = _frame(top["name"], top["kind"], top["item"], F.concat(top["own"], own), F.concat(top["whole"], whole))
+    return F.concat(F.slice(stack, 1, F.size(stack) - 1), F.array(more))
 
-    Comments and elements of class `edit` go, <br> is a line end, lists are numbered, and every other element goes
-    with all it holds, unless it is all that a kept element has.
-    """
-    inner = F.regexp_extract(html, rf"(?is)<{container}{_ATTRIBUTES}>(.*?)</{container}>", 1)
-    text = F.regexp_replace(inner, r"(?s)<!--.*?-->", "")
-    text = F.regexp_replace(text, rf"(?is)<([a-z][a-z0-9]*){_EDIT}[^>]*>.*?</\1>", "")
-    text = _without_others(text, r"<[uo]l\b")
-    text = F.regexp_replace(text, r"(?i)<br\s*/?>", "\n")
-    pieces = F.regexp_extract_all(
-        text, F.lit(rf"(?is)<[uo]l{_ATTRIBUTES}>.*?</[uo]l>|(?:(?!<[uo]l\b).)+|<[^>]*>"), F.lit(0)
+
+def _popped(s: Column) -> Column:
+    """The innermost open element ends: what it gives goes to the element around it."""
+    stack, items = s["stack"], s["items"]
+    top, below = F.element_at(stack, -1), F.slice(stack, 1, F.size(stack) - 1)
+    inside = F.exists(below, lambda f: f["kind"] == "list")
+    numbered = F.concat(F.array_join(F.transform(items, lambda x, i: F.concat((i + 1).cast("string"), F.lit(". "), x, F.lit("\n"))), ""), F.lit("\n"))
+    own = (
+        F.when(top["kind"] == "kept", F.when(top["own"] != "", top["own"]).otherwise(top["whole"]))
+        .when((top["kind"] == "list") & ~inside, numbered).otherwise("")
+    )
+    kept = F.transform(items, lambda x, i: F.when(i == top["item"], top["whole"]).otherwise(x))
+    left = F.when((top["kind"] == "list") & ~inside, F.array().cast("array<string>")).otherwise(kept)
+    return _state(_added(below, own, top["whole"]), left, s["done"])
+
+
+def _read(s: Column, p: Column) -> Column:
+    stack, items = s["stack"], s["items"]
+    in_list = F.exists(stack, lambda f: f["kind"] == "list")
+    is_item = in_list & (p["name"] == "li")
+    opened = _frame(p["name"], p["kind"], F.when(is_item, F.size(items)).otherwise(-1), F.lit(""), F.lit(""))
+    started = _state(
+        F.concat(stack, F.array(opened)), F.when(is_item, F.concat(items, F.array(F.lit("")))).otherwise(items), s["done"]
     )
-    kept = F.transform(
-        pieces, lambda p: F.when(p.rlike(rf"(?is)^<[uo]l{_ATTRIBUTES}>.*</[uo]l>$"), _number_items(p)).otherwise(_own_text(p))
+    # An end tag closes the innermost open element of its name and what is open inside; without one it is nothing.
+    back = F.array_position(F.reverse(F.transform(stack, lambda f: f["name"])), p["name"]).cast("int")
+    last = back == F.size(stack)
+    pops = F.when(last, back - 1).otherwise(back)
+    shut = F.aggregate(F.when(pops > 0, F.sequence(F.lit(1), pops)).otherwise(F.array().cast("array<int>")), s, lambda t, _: _popped(t))
+    text = F.when(p["what"] == "text", p["text"]).when(p["kind"] == "br", "\n").otherwise("")
+    return (
+        F.when(s["done"] | (p["what"] == "nothing"), s)
+        .when(p["what"] == "start", started)
+        .when(p["what"] == "end", F.when(last, shut.withField("done", F.lit(True))).otherwise(shut))
+        .otherwise(_state(_added(stack, text, text), items, s["done"]))
     )
-    return tidy_body(_decode(F.array_join(kept, "")))
+
+
+def body_text(html: Column, container: str = "article") -> Column:
+    """Text of the first container: kept elements and lists, in column expressions, at any depth.
+
+    Comments and elements of class `edit` go, <br> is a line end, the items of a list and of lists in it are numbered, and
+    every other element goes with all it holds, unless it is all that a kept element has. Tags and text are read once,
+    with the open elements on a stack.
+    """
+    inner = F.regexp_extract(html, rf"(?is)<{container}{_ATTRIBUTES}>(.*)", 1)
+    pieces = F.transform(F.regexp_extract_all(inner, F.lit(_PIECES), F.lit(0)), _parsed)
+    base = _frame(F.lit(container), F.lit("kept"), F.lit(-1), F.lit(""), F.lit(""))
+    start = _state(F.array(base), F.array().cast("array<string>"), F.lit(False))
+    text = F.aggregate(pieces, start, _read, lambda s: F.when(s["done"], F.element_at(s["stack"], 1)["own"]).otherwise(""))
+    return tidy_body(_decode(text))
 
 
 def page_posts(pages: DataFrame, container: str = "article") -> DataFrame:
