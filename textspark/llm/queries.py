@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
-_MODULES = ("dedup_queries", "text_queries", "search_queries")
+_MODULES = ("dedup_queries", "text_queries", "search_queries", "corpus_queries")
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
