@@ -32,9 +32,10 @@ def settings(spark: SparkSession, **values: str):
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
-def kept(df: DataFrame, name: str) -> DataFrame:
+def kept(df: DataFrame, name: str, batch_rows: int = BATCH_ROWS) -> DataFrame:
     """The same rows, written once as Parquet beside the checkpoints and read back.
 
+    `batch_rows` bounds the Arrow batches of the step: small where rows are long.
     Survives lost executors, cuts the lineage, and lets the shuffle files of the step go when it is over.
     """
     spark = df.sparkSession
@@ -42,7 +43,7 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     with settings(
         spark,
         spark__sql__classic__shuffleDependency__fileCleanup__enabled="true",
-        spark__sql__execution__arrow__maxRecordsPerBatch=str(BATCH_ROWS),
+        spark__sql__execution__arrow__maxRecordsPerBatch=str(batch_rows),
         spark__sql__unionOutputPartitioning="false",
     ):
         df.write.option("compression", "zstd").parquet(path)

@@ -101,9 +101,10 @@ def span_hashes(values: np.ndarray, start: np.ndarray, end: np.ndarray, base: in
     return mix((total[end] - total[start]) * down[start])
 
 
-def split_words(column: pa.Array, fold: bool = True) -> Words:
+def split_words(column: pa.Array, fold: bool = True, blank: np.ndarray = _SPACE) -> Words:
+    """Words of each text; `blank` marks the bytes between words."""
     data, edges = buffer(column, fold)
-    solid = ~_SPACE[data]
+    solid = ~blank[data]
     begins = solid.copy()
     begins[1:] &= ~solid[:-1]
     ends = solid.copy()
