@@ -4,7 +4,7 @@ from collections import Counter
 
 import pytest
 
-from textspark.llm import chunks
+from textspark.llm import collocations as module
 from textspark.llm.collocations import collocations, frequent_phrases
 
 FOLD = {i: i + 32 for i in range(65, 91)}
@@ -61,8 +61,7 @@ def test_equals_the_slow_version(corpus, edge_rows, least, best):
 
 def test_many_small_chunks_give_the_same(corpus, monkeypatch):
     rows = random_rows(60)
-    monkeypatch.setattr(chunks, "CHUNK_BYTES", 200)
-    monkeypatch.setattr(chunks.in_chunks, "__defaults__", (200,))
+    monkeypatch.setattr(module, "CHUNK_BYTES", 200)
     assert result(collocations(corpus(*rows).coalesce(1), least=3)) == slow([(r[1], r[2]) for r in rows], 3)
 
 

@@ -29,6 +29,8 @@ from textspark.llm.storage import dropped, kept
 from textspark.llm.words import mix, split_words
 from textspark.plans.ranking import top_k_per_group
 
+#: Bytes of text in a chunk; the arrays of a step need some forty times as much.
+CHUNK_BYTES = 3 << 20
 LEAST = 100
 LONGEST = 5
 BEST = 2000
@@ -38,8 +40,18 @@ _BETWEEN[[*b" \t", *np.flatnonzero(_BREAK)]] = True
 _HEAD, _TAIL = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
+def _narrow(name: str, values: np.ndarray) -> np.ndarray:
+    """Positions as gaps, and numbers that are never negative in as few bytes as they need."""
+    if name.startswith("pos"):
+        values = np.diff(values, prepend=0)
+    if name.startswith(("pos", "phrase", "code", "step")):
+        values = values.astype(np.min_scalar_type(values.max(initial=0)))
+    return values
+
+
 def packed(**arrays: np.ndarray) -> bytes:
     """Arrays as one Arrow stream of a single row."""
+    arrays = {name: _narrow(name, values) for name, values in arrays.items()}
     columns = [pa.LargeListArray.from_arrays(pa.array([0, len(v)], pa.int64()), pa.array(v)) for v in arrays.values()]
     batch = pa.record_batch(columns, list(arrays))
     sink = pa.BufferOutputStream()
@@ -50,7 +62,8 @@ def packed(**arrays: np.ndarray) -> bytes:
 
 def unpacked(blob: bytes) -> dict[str, np.ndarray]:
     batch = pa.ipc.open_stream(blob).read_next_batch()
-    return {name: np.array(column.values) for name, column in zip(batch.schema.names, batch.columns)}
+    arrays = {name: column.values.to_numpy(zero_copy_only=False) for name, column in zip(batch.schema.names, batch.columns)}
+    return {name: np.cumsum(v, dtype=np.int64) if name.startswith("pos") else v for name, v in arrays.items()}
 
 
 def _words(part: list[pa.RecordBatch]) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray, list[str], np.ndarray]:
@@ -95,7 +108,7 @@ def occurrences(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = chunk_ids()
-        for part in in_chunks(batches, "text"):
+        for part in in_chunks(batches, "text", CHUNK_BYTES):
             state, key, count, langs, words = _words(part)
             yield _row(next(ids), langs, words.tolist(), packed(**state), key, count)
 
@@ -234,7 +247,7 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
         frequent = kept(totals(asked).filter(F.col("total") >= least), f"frequent-{k}")
         answers = asked.join(frequent, "key").select("chunk", "key", "total", (F.col("chunk") == F.col("owner")).alias("owned"))
         step = _first_level if k == 1 else _level(k)
-        longer = kept(answered(chunks, answers, step, _CHUNK), f"occurrences-{k + 1}", batch_rows=BATCH)
+        longer = kept(answered(chunks.drop("counts"), answers, step, _CHUNK), f"occurrences-{k + 1}", batch_rows=BATCH)
         dropped(chunks, frequent)
         chunks = longer
     found = kept(chunks.select("langs", "state").mapInArrow(_found(longest), _CANDIDATE), "phrases")
