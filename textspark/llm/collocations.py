@@ -44,7 +44,7 @@ def _narrow(name: str, values: np.ndarray) -> np.ndarray:
     """Positions as gaps, and numbers that are never negative in as few bytes as they need."""
     if name.startswith("pos"):
         values = np.diff(values, prepend=0)
-    if name.startswith(("pos", "phrase", "code", "step")):
+    if name.startswith(("pos", "phrase", "code", "step", "word_size", "word_lang")):
         values = values.astype(np.min_scalar_type(values.max(initial=0)))
     return values
 
@@ -55,7 +55,7 @@ def packed(**arrays: np.ndarray) -> bytes:
     columns = [pa.LargeListArray.from_arrays(pa.array([0, len(v)], pa.int64()), pa.array(v)) for v in arrays.values()]
     batch = pa.record_batch(columns, list(arrays))
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, batch.schema) as stream:
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
         stream.write_batch(batch)
     return sink.getvalue().to_pybytes()
 
@@ -94,7 +94,7 @@ def _words(part: list[pa.RecordBatch]) -> tuple[dict[str, np.ndarray], np.ndarra
         "step": np.concatenate(steps),
         "code": code.astype(np.int32),
         "word_lang": lang[first].astype(np.int32),
-        "word_end": np.cumsum([len(x) for x in spelled], dtype=np.int64),
+        "word_size": np.array([len(x) for x in spelled], np.int64),
         "word_data": np.concatenate(spelled) if spelled else np.zeros(0, np.uint8),
     }
     return state, key, count, list(names), np.bincount(lang, minlength=len(names))
@@ -149,13 +149,14 @@ def _first_level(chunk: pa.Table, answer: pa.Table) -> pa.Table:
     state = unpacked(chunk["state"][0].as_py())
     number, key, total, _ = _frequent(chunk, answer)
     kept_words = np.flatnonzero(number >= 0)
-    begin = np.concatenate([[0], state["word_end"][:-1]]) if len(state["word_end"]) else state["word_end"]
-    sizes = (state["word_end"] - begin)[kept_words]
-    taken = np.arange(sizes.sum()) + np.repeat(begin[kept_words] - (np.cumsum(sizes) - sizes), sizes)
+    every = state["word_size"].astype(np.int64)
+    begin, sizes = np.cumsum(every) - every, every[kept_words]
+    begin = begin[kept_words]
+    taken = np.arange(sizes.sum()) + np.repeat(begin - (np.cumsum(sizes) - sizes), sizes)
     word = number[state["code"]]
     stays = word >= 0
     pos, word = np.cumsum(state["step"], dtype=np.int64)[stays], word[stays]
-    new = {"word_lang": state["word_lang"][kept_words], "word_end": np.cumsum(sizes), "word_data": state["word_data"][taken]}
+    new = {"word_lang": state["word_lang"][kept_words], "word_size": sizes, "word_data": state["word_data"][taken]}
     new |= {"pos1": pos, "phrase1": word, "key1": key, "total1": total}
     return _next(chunk, new, 1)
 
@@ -215,9 +216,9 @@ def _owned(state: dict[str, np.ndarray], langs: list[str], k: int) -> pa.RecordB
 
     count = lambda j, p: state[f"total{j}"][part(j, p)]
     words = np.stack([part(1, at + i) for i in range(k)], 1)
-    begin = np.concatenate([[0], state["word_end"][:-1]])
-    data = state["word_data"].tobytes()
-    spelled = [b" ".join(data[begin[w] : state["word_end"][w]] for w in row).decode("utf-8", "replace") for row in words.tolist()]
+    end = np.cumsum(state["word_size"], dtype=np.int64)
+    begin, data = end - state["word_size"], state["word_data"].tobytes()
+    spelled = [b" ".join(data[begin[w] : end[w]] for w in row).decode("utf-8", "replace") for row in words.tolist()]
     cuts = range(1, k)
     lefts, rights = (np.stack(x, 1) for x in ([count(j, at) for j in cuts], [count(k - j, at + j) for j in cuts]))
     head, tail = (state[f"key{k - 1}"][part(k - 1, p)] for p in (at, at + 1))
@@ -247,8 +248,9 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
         frequent = kept(totals(asked).filter(F.col("total") >= least), f"frequent-{k}")
         answers = asked.join(frequent, "key").select("chunk", "key", "total", (F.col("chunk") == F.col("owner")).alias("owned"))
         step = _first_level if k == 1 else _level(k)
+        answers = kept(answers, f"answers-{k}", batch_rows=BATCH)  # ends the step, so its shuffles can go
         longer = kept(answered(chunks.drop("counts"), answers, step, _CHUNK), f"occurrences-{k + 1}", batch_rows=BATCH)
-        dropped(chunks, frequent)
+        dropped(chunks, frequent, answers)
         chunks = longer
     found = kept(chunks.select("langs", "state").mapInArrow(_found(longest), _CANDIDATE), "phrases")
     dropped(chunks)
