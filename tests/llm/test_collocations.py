@@ -59,8 +59,11 @@ def test_equals_the_slow_version(corpus, edge_rows, least, best):
     assert got == slow([(r[1], r[2]) for r in rows], least, best)
 
 
-def test_many_small_chunks_give_the_same(corpus, monkeypatch):
+@pytest.mark.parametrize("keys", [1 << 20, 10])
+def test_many_small_chunks_give_the_same(corpus, monkeypatch, keys):
+    """With few frequent phrases, which are broadcast, and with more than may be, which are joined."""
     rows = random_rows(60)
+    monkeypatch.setattr(module, "KEYS", keys)
     monkeypatch.setattr(module, "CHUNK_BYTES", 200)
     assert result(collocations(corpus(*rows).coalesce(1), least=3)) == slow([(r[1], r[2]) for r in rows], 3)
 

@@ -62,10 +62,8 @@ def requests(chunks: DataFrame, keys: str = "keys", counts: str = "counts") -> D
 def answered(chunks: DataFrame, answers: DataFrame, fn: Callable[[pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
     """`fn(row of the chunk, its answers)` for every chunk; answers have a column `chunk`."""
 
-    def run(chunk: pa.Table, answer: pa.Table) -> pa.Table:
-        return fn(chunk, answer)
 
-    return chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(run, schema)
+    return chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(fn, schema)
 
 
 def totals(asked: DataFrame) -> DataFrame:

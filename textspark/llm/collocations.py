@@ -3,10 +3,10 @@
 The occurrence relation R1 (position, word) of a chunk is written sorted by position; positions run through a chunk and
 skip one between pieces, so adjacent words of one piece have adjacent positions. Level by level, the relation Rk of
 frequent k-word phrases is merge-joined with itself at the adjacent position, which gives the occurrences of all
-(k + 1)-word phrases whose k-word parts are frequent. Their counts are grouped over the corpus, and the groups that
-are frequent are joined back to the chunks that hold them, which keeps only their occurrences in R(k + 1).
+(k + 1)-word phrases whose k-word parts are frequent. Their counts are grouped over the corpus, and a semi-join with the
+groups that are frequent keeps only their occurrences in R(k + 1), which is written.
 
-Counting moves a row for each distinct phrase of a chunk, so a phrase that fills a language has one row a chunk.
+Counting moves a row for each distinct phrase of some chunks, so a phrase that fills a language has few rows.
 Phrases are known by 64-bit hashes of their words and language; that two of m phrases agree has a chance of m^2 / 2^65.
 
 Defined results: null texts are empty; null languages are `und`; repeated rows count each time; empty tables, and texts
@@ -24,15 +24,18 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textspark.llm.chunks import answered, chunk_ids, in_chunks, requests, totals
+from textspark.llm.chunks import answered, chunk_ids, in_chunks
 from textspark.llm.storage import dropped, kept
-from textspark.llm.words import mix, split_words
+from textspark.llm.words import first_of_runs, mix, split_words
 from textspark.plans.ranking import top_k_per_group
 
 #: Bytes of text in a chunk; the arrays of a step need some forty times as much.
 CHUNK_BYTES = 3 << 20
 LEAST = 100
 LONGEST = 5
+#: Keys of phrases held at once beside a chunk (24 bytes each), and rows handed over at once; a chunk's rows are few.
+KEYS = 1 << 20
+BATCH = 10_000
 BEST = 2000
 _BREAK, _BETWEEN = np.zeros(256, bool), np.zeros(256, bool)
 _BREAK[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
@@ -66,8 +69,8 @@ def unpacked(blob: bytes) -> dict[str, np.ndarray]:
     return {name: np.cumsum(v, dtype=np.int64) if name.startswith("pos") else v for name, v in arrays.items()}
 
 
-def _words(part: list[pa.RecordBatch]) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray, list[str], np.ndarray]:
-    """R1 of a chunk with the dictionary of its words: state, keys, counts, languages and their numbers of words."""
+def _words(part: list[pa.RecordBatch]) -> tuple[dict[str, np.ndarray], list[str], np.ndarray]:
+    """R1 of a chunk with the dictionary of its words, its languages and their numbers of words."""
     keys, steps, texts, langs, of = [], [], [], [], []
     names: dict[str, int] = {}
     for piece in part:
@@ -86,103 +89,145 @@ def _words(part: list[pa.RecordBatch]) -> tuple[dict[str, np.ndarray], np.ndarra
         langs.append(number[text])
         texts.append(words)
         of.append(np.full(len(text), len(of)))
-    key, first, code, count = np.unique(np.concatenate(keys), return_index=True, return_inverse=True, return_counts=True)
+    key, first, code = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
     lang, of = np.concatenate(langs), np.concatenate(of)
     begun = np.cumsum([0, *map(len, keys)])
     spelled = [texts[of[i]].data[texts[of[i]].start[i - begun[of[i]]] : texts[of[i]].end[i - begun[of[i]]]] for i in first.tolist()]
     state = {
         "step": np.concatenate(steps),
-        "code": code.astype(np.int32),
-        "word_lang": lang[first].astype(np.int32),
+        "code": code,
+        "key": key,
+        "word_lang": lang[first],
         "word_size": np.array([len(x) for x in spelled], np.int64),
         "word_data": np.concatenate(spelled) if spelled else np.zeros(0, np.uint8),
     }
-    return state, key, count, list(names), np.bincount(lang, minlength=len(names))
+    return state, list(names), np.bincount(lang, minlength=len(names))
 
 
-_CHUNK = "chunk long, langs array<string>, words array<long>, state binary, keys binary, counts binary"
+_CHUNK = "chunk long, langs array<string>, words array<long>, state binary"
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
-    """R1, one row a chunk, with the words of the chunk as keys to be counted."""
+    """R1, one row a chunk."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = chunk_ids()
         for part in in_chunks(batches, "text", CHUNK_BYTES):
-            state, key, count, langs, words = _words(part)
-            yield _row(next(ids), langs, words.tolist(), packed(**state), key, count)
+            state, langs, words = _words(part)
+            yield _row(next(ids), langs, words.tolist(), packed(**state))
 
     return docs.select(F.col("text").cast("string"), F.col("lang").cast("string")).mapInArrow(run, _CHUNK)
 
 
-def _row(chunk: int, langs: list[str], words: list[int], state: bytes, keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-    values = [
-        pa.array([chunk], pa.int64()),
-        pa.array([langs], pa.list_(pa.string())),
-        pa.array([words], pa.list_(pa.int64())),
-        *(pa.array([x], pa.binary()) for x in (state, keys.astype("<i8").tobytes(), counts.astype("<i8").tobytes())),
-    ]
+def _row(chunk: int, langs: list[str], words: list[int], state: bytes) -> pa.RecordBatch:
+    values = [pa.array([chunk], pa.int64()), pa.array([langs], pa.list_(pa.string())), pa.array([words], pa.list_(pa.int64())), pa.array([state], pa.binary())]
     return pa.record_batch(values, [f.split()[0] for f in _CHUNK.split(", ")])
 
 
-def _frequent(chunk: pa.Table, answer: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """New number of each key of the chunk (-1: not frequent), and key, total and ownership of the frequent ones."""
-    keys = np.frombuffer(chunk["keys"][0].as_py(), "<i8")
-    answer = answer.sort_by("key")
-    found, total, owned = answer["key"].to_numpy(), answer["total"].to_numpy(), answer["owned"].to_numpy(zero_copy_only=False)
-    number = np.full(len(keys), -1, np.int32)
-    number[np.searchsorted(keys, found)] = np.arange(len(found))
-    return number, found, total, owned
+def _groups(state: dict[str, np.ndarray], k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the k-word phrases of a chunk, sorted, and how often each occurs there."""
+    if k == 1:
+        return state["key"], np.bincount(state["code"], minlength=len(state["key"]))
+    return np.unique(_joined(state, k - 1)[1], return_counts=True)
+
+
+def grouped(chunks: DataFrame, k: int) -> DataFrame:
+    """(key, n, owner) of k-word phrases: added up over the chunks of a task, KEYS or so at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, size = [], 0
+        for batch in batches:
+            for chunk, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                key, n = _groups(unpacked(blob), k)
+                parts.append((key, n, np.full(len(key), chunk)))
+                size += len(key)
+                if size > KEYS:
+                    yield _added(parts)
+                    parts, size = [], 0
+        if size:
+            yield _added(parts)
+
+    return chunks.select("chunk", "state").mapInArrow(run, "key long, n long, owner long")
+
+
+def _added(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+    key, n, owner = (np.concatenate(x) for x in zip(*parts))
+    order = np.argsort(key, kind="stable")
+    key, n, owner = key[order], n[order], owner[order]
+    first = np.flatnonzero(first_of_runs(key)) if len(key) else np.zeros(0, np.int64)
+    sums = np.add.reduceat(n, first) if len(key) else n
+    lowest = np.minimum.reduceat(owner, first) if len(key) else owner
+    return pa.record_batch([pa.array(key[first]), pa.array(sums.astype(np.int64)), pa.array(lowest)], ["key", "n", "owner"])
 
 
-def _joined(pos: np.ndarray, phrase: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Rk merged with itself at the adjacent position: starts, numbers, keys and counts of the longer phrases."""
+def _asked(chunks: DataFrame, k: int) -> DataFrame:
+    """(chunk, key): the k-word phrases of each chunk."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                key, _ = _groups(unpacked(blob), k)
+                yield pa.record_batch([pa.array(np.full(len(key), chunk)), pa.array(key)], ["chunk", "key"])
+
+    return chunks.select("chunk", "state").mapInArrow(run, "chunk long, key long")
+
+
+def _joined(state: dict[str, np.ndarray], k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rk merged with itself at the adjacent position: starts and keys of the occurrences of longer phrases."""
+    pos, phrase, key = state[f"pos{k}"], state[f"phrase{k}"], state[f"key{k}"].view(np.uint64)
     at = np.flatnonzero(np.diff(pos) == 1)
-    unsigned = key.view(np.uint64)
-    longer = mix(mix(unsigned[phrase[at]] * _HEAD) + unsigned[phrase[at + 1]] * _TAIL).view(np.int64)
-    keys, number, count = np.unique(longer, return_inverse=True, return_counts=True)
-    return pos[at], number.astype(np.int32), keys, count
-
-
-def _first_level(chunk: pa.Table, answer: pa.Table) -> pa.Table:
-    """Keeps the occurrences of frequent words, and pairs them."""
-    state = unpacked(chunk["state"][0].as_py())
-    number, key, total, _ = _frequent(chunk, answer)
-    kept_words = np.flatnonzero(number >= 0)
-    every = state["word_size"].astype(np.int64)
-    begin, sizes = np.cumsum(every) - every, every[kept_words]
-    begin = begin[kept_words]
-    taken = np.arange(sizes.sum()) + np.repeat(begin - (np.cumsum(sizes) - sizes), sizes)
-    word = number[state["code"]]
-    stays = word >= 0
-    pos, word = np.cumsum(state["step"], dtype=np.int64)[stays], word[stays]
-    new = {"word_lang": state["word_lang"][kept_words], "word_size": sizes, "word_data": state["word_data"][taken]}
-    new |= {"pos1": pos, "phrase1": word, "key1": key, "total1": total}
-    return _next(chunk, new, 1)
-
-
-def _next(chunk: pa.Table, state: dict[str, np.ndarray], k: int) -> pa.Table:
-    pos, phrase, keys, counts = _joined(state[f"pos{k}"], state[f"phrase{k}"], state[f"key{k}"])
-    state |= {f"pos{k + 1}": pos, f"phrase{k + 1}": phrase}
-    row = _row(chunk["chunk"][0].as_py(), chunk["langs"][0].as_py(), chunk["words"][0].as_py(), packed(**state), keys, counts)
-    return pa.Table.from_batches([row])
-
-
-def _level(k: int):
+    return pos[at], mix(mix(key[phrase[at]] * _HEAD) + key[phrase[at + 1]] * _TAIL).view(np.int64)
+
+
+def _semi_joined(state: dict[str, np.ndarray], k: int, chunk: int, key: np.ndarray, total: np.ndarray, owner: np.ndarray) -> dict[str, np.ndarray]:
+    """Rk of a chunk: the occurrences whose phrase is among the frequent ones (sorted by key)."""
+    if k == 1:
+        pos, found, local = np.cumsum(state["step"], dtype=np.int64), state["key"], state["code"]
+    else:
+        pos, longer = _joined(state, k - 1)
+        found, local = np.unique(longer, return_inverse=True)
+    place = np.minimum(np.searchsorted(key, found), max(len(key) - 1, 0))
+    there = key[place] == found if len(key) else np.zeros(len(found), bool)
+    number = np.where(there, np.cumsum(there) - 1, -1)
+    phrase = number[local]
+    stays = phrase >= 0
+    place = place[there]
+    pos = pos[stays]
+    new = {f"pos{k}": pos, f"phrase{k}": phrase[stays], f"key{k}": found[there], f"total{k}": total[place], f"owned{k}": owner[place] == chunk}
+    if k == 1:
+        every = state["word_size"].astype(np.int64)
+        begin, sizes = (np.cumsum(every) - every)[there], every[there]
+        taken = np.arange(sizes.sum()) + np.repeat(begin - (np.cumsum(sizes) - sizes), sizes)
+        return new | {"word_lang": state["word_lang"][there], "word_size": sizes, "word_data": state["word_data"][taken]}
+    if k == 2:  # only words inside a frequent pair are asked for later
+        used = np.isin(state["pos1"], np.concatenate([pos, pos + 1]))
+        state |= {"pos1": state["pos1"][used], "phrase1": state["phrase1"][used]}
+    return state | new
+
+
+def semi_joined(chunks: DataFrame, frequent: DataFrame, k: int) -> DataFrame:
+    """The chunks with Rk. Few frequent phrases (KEYS at most, counted) are broadcast; more are joined to the chunks'
+    own phrases by shuffle, and each chunk meets its answers."""
+    spark = chunks.sparkSession
+    if frequent.count() <= KEYS:
+        table = frequent.select("key", "total", "owner").orderBy("key").toArrow()
+        shared = spark.sparkContext.broadcast([c.to_numpy() for c in table.columns])
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for chunk, langs, words, blob in zip(*(c.to_pylist() for c in batch.columns)):
+                    yield _row(chunk, langs, words, packed(**_semi_joined(unpacked(blob), k, chunk, *shared.value)))
+
+        return chunks.mapInArrow(run, _CHUNK)
+    answers = kept(_asked(chunks, k).join(frequent, "key"), f"answers-{k}", batch_rows=BATCH)
+
     def step(chunk: pa.Table, answer: pa.Table) -> pa.Table:
-        """Keeps the occurrences of frequent k-word phrases, and joins them to longer ones."""
-        state = unpacked(chunk["state"][0].as_py())
-        number, key, total, owned = _frequent(chunk, answer)
-        phrase = number[state[f"phrase{k}"]]
-        stays = phrase >= 0
-        pos = state[f"pos{k}"][stays]
-        state |= {f"pos{k}": pos, f"phrase{k}": phrase[stays], f"key{k}": key, f"total{k}": total, f"owned{k}": owned}
-        if k == 2:  # only words inside a frequent pair are asked for later
-            used = np.isin(state["pos1"], np.concatenate([pos, pos + 1]))
-            state |= {"pos1": state["pos1"][used], "phrase1": state["phrase1"][used]}
-        return _next(chunk, state, k)
+        answer = answer.sort_by("key")
+        number, langs, words, blob = (chunk[name][0].as_py() for name in ("chunk", "langs", "words", "state"))
+        state = _semi_joined(unpacked(blob), k, number, *(answer[name].to_numpy() for name in ("key", "total", "owner")))
+        return pa.Table.from_batches([_row(number, langs, words, packed(**state))])
 
-    return step
+    return answered(chunks, answers, step, _CHUNK)
 
 
 _CANDIDATE = (
@@ -240,27 +285,20 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
 
     A phrase has its parts' counts for each cut, and key and count of the two phrases that are one word shorter.
     """
-    chunks = kept(occurrences(docs), "occurrences-1", batch_rows=16)
+    chunks = kept(occurrences(docs), "occurrences", batch_rows=16)
     sizes = chunks.select(F.explode(F.arrays_zip("langs", "words")).alias("x")).groupBy(F.col("x.langs").alias("lang")).agg(F.sum("x.words").alias("n"))
     sizes = kept(sizes, "sizes")
     for k in range(1, longest + 1):
-        asked = requests(chunks)
-        frequent = kept(totals(asked).filter(F.col("total") >= least), f"frequent-{k}")
-        answers = asked.join(frequent, "key").select("chunk", "key", "total", (F.col("chunk") == F.col("owner")).alias("owned"))
-        step = _first_level if k == 1 else _level(k)
-        answers = kept(answers, f"answers-{k}", batch_rows=BATCH)  # ends the step, so its shuffles can go
-        longer = kept(answered(chunks.drop("counts"), answers, step, _CHUNK), f"occurrences-{k + 1}", batch_rows=BATCH)
-        dropped(chunks, frequent, answers)
+        counts = grouped(chunks, k).groupBy("key").agg(F.sum("n").alias("total"), F.min("owner").alias("owner"))
+        frequent = kept(counts.filter(F.col("total") >= least), f"frequent-{k}")
+        longer = kept(semi_joined(chunks, frequent, k), f"occurrences-{k}", batch_rows=16)
+        dropped(chunks, frequent)
         chunks = longer
     found = kept(chunks.select("langs", "state").mapInArrow(_found(longest), _CANDIDATE), "phrases")
     dropped(chunks)
     return found, sizes
 
 
-#: Answer rows handed over at once; the rows of chunks are few beside them.
-BATCH = 10_000
-
-
 def scored(found: DataFrame, sizes: DataFrame) -> DataFrame:
     """(lang, phrase, size, key, a, l, r, n, score): the lowest score over all cuts, in exact decimals."""
     wide = lambda c: c.cast("decimal(19,0)")
