@@ -3,10 +3,11 @@
 The model file (a protobuf) is parsed on the driver and rebuilt: its normaliser, the metaspace marker, unigram scores or
 BPE merges ranked by piece score, and byte fallback. Tasks encode with the rebuilt tokenizer, several threads a batch.
 
-Where no piece holds a marker after another character, no token can cross the start of a marked word, so a text's ids
-are those of its words one after another. Then each distinct word of a task is encoded, decoded and compared with
-`sentencepiece` once, which covers every text of the task; otherwise whole texts are. Words seen are remembered up to a
-bound, which changes speed only.
+Every whole text is encoded, and its ids are decoded and compared with the text. Parity: where the text is not
+normalised and no piece holds a marker after another character, no token can cross the start of a marked word, so a
+text's ids are those of its words one after another in both libraries; then each distinct word of a task is compared
+with `sentencepiece` once, which covers every text of the task. Otherwise whole texts are compared. Words compared are
+remembered up to a bound, which changes speed only. A text longer than a slice is handled alone.
 
 Defined results: null and empty texts have no ids; `parity` says that all ids equal those of `sentencepiece`;
 `round_trip` that decoding gives the text again (false for a text that itself holds the marker character).
@@ -15,23 +16,25 @@ Defined results: null and empty texts have no ids; `parity` says that all ids eq
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2
 from tokenizers import Regex, Tokenizer, decoders, models, normalizers
 
-from textspark.llm.storage import kept, lists, slices
+from textspark.llm.storage import free_name, kept, lists, slices
 
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARKER = "▁"
-REMEMBERED = 100_000
+REMEMBERED = 200_000
 _NORMAL, _UNKNOWN, _BYTE = 1, 2, 6
 _UNIGRAM, _BPE = 1, 2
 
@@ -88,80 +91,60 @@ def rebuilt(model) -> Tokenizer:
 def word_by_word(model) -> bool:
     """Whether ids of a text are those of its marked words: no piece has a marker after another character."""
     spec = model.normalizer_spec
-    return bool(spec.escape_whitespaces and spec.add_dummy_prefix) and not any(
+    plain = spec.escape_whitespaces and spec.add_dummy_prefix and not spec.remove_extra_whitespaces and not spec.precompiled_charsmap
+    return bool(plain) and not any(
         MARKER in p.piece.lstrip(MARKER) for p in model.pieces if p.type == _NORMAL
     )
 
 
+def byte_table(model) -> pa.Array:
+    """Bytes that each id stands for in a decoded text."""
+    as_bytes = lambda p: bytes([int(p.piece[3:5], 16)]) if p.type == _BYTE else p.piece.replace(MARKER, " ").encode()
+    return pa.array([as_bytes(p) for p in model.pieces], pa.large_binary())
+
+
 class _Encoder:
     """One task's tokenizer. `encode` gives flat ids, the end of each text's ids, parity and round trip."""
 
-    def __init__(self, tokenizer: str, model: bytes, by_word: bool):
+    def __init__(self, tokenizer: str, model: bytes, by_word: bool, threads: int):
+        os.environ["RAYON_NUM_THREADS"] = str(threads)  # read when the library encodes its first batch
         self.tokenizer = Tokenizer.from_str(tokenizer)
         self.pieces = sentencepiece.SentencePieceProcessor(model_proto=model)
-        self.by_word = by_word
-        self.normal = self.tokenizer.normalizer.normalize_str if self.tokenizer.normalizer else str
-        if by_word:
-            # Words are normalised with their text, before they are cut.
-            self.tokenizer.normalizer = normalizers.Sequence([])
-        self.marker = self.pieces.piece_to_id(MARKER)
-        self.known: dict[str, int] = {}
-        self.ids: list[list[int]] = []
-        self.good: list[int] = []
-        self.used = np.zeros(0, np.int64)
-
-    def _forget(self) -> None:
-        """Forgets all words but those of the last slice."""
-        words, keep = list(self.known), self.used.tolist()
-        self.known = {words[i]: k for k, i in enumerate(keep)}
-        self.ids = [self.ids[i] for i in keep]
-        self.good = [self.good[i] for i in keep]
-
-    def _learn(self, words: list[str]) -> None:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        # The library adds the leading marker itself, so it gets the word without one.
-        theirs = self.pieces.encode([w[1:] for w in words], num_threads=1)
-        back = self.tokenizer.decode_batch(found, skip_special_tokens=False)
-        for word, ours, expected, text in zip(words, found, theirs, back):
-            if word == MARKER:
-                expected = [self.marker]
-            self.known[word] = len(self.ids)
-            self.ids.append(ours)
-            self.good.append((ours == expected) + 2 * (text == word[1:].replace(MARKER, " ")))
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        self.threads, self.by_word = threads, by_word
+        parsed = sentencepiece_model_pb2.ModelProto.FromString(model)
+        self.bytes = byte_table(parsed)
+        self.prefix = b" " if parsed.normalizer_spec.add_dummy_prefix else b""
+        self.checked: set[str] = set()
+        self.wrong: set[str] = set()
+
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _parity(self, texts: list[str], ids: list[list[int]]) -> list[bool]:
         if not self.by_word:
-            ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-            parity = [a == b for a, b in zip(ids, self.pieces.encode(texts, num_threads=1))]
-            back = [a == b for a, b in zip(self.tokenizer.decode_batch(ids, skip_special_tokens=False), texts)]
-            flat = np.fromiter(chain.from_iterable(ids), np.int32)
-            return flat, np.cumsum([len(x) for x in ids], dtype=np.int64), np.array(parity, bool), np.array(back, bool)
-        if len(self.ids) > REMEMBERED:
-            self._forget()
-        split = [_MARKED.findall(self.normal(t)) if t else [] for t in texts]
-        new = list(dict.fromkeys(w for words in split for w in words if w not in self.known))
-        if new:
-            self._learn(new)
-        sizes = np.array([len(x) for x in split], np.int64)
-        known = self.known
-        at = np.fromiter((known[w] for words in split for w in words), np.int64, int(sizes.sum()))
-        used, at = np.unique(at, return_inverse=True)
-        self.used = used
-        lengths = np.array([len(self.ids[i]) for i in used.tolist()], np.int64)
-        flat = np.fromiter(chain.from_iterable(self.ids[i] for i in used.tolist()), np.int32, int(lengths.sum()))
-        begin = np.cumsum(lengths) - lengths
-        taken = lengths[at]
-        step = np.arange(taken.sum()) - np.repeat(np.cumsum(taken) - taken, taken)
-        ids = flat[np.repeat(begin[at], taken) + step]
-        word_ends = np.cumsum(sizes)
-        ends = np.concatenate([[0], np.cumsum(taken)])[word_ends]
-        good = np.array([self.good[i] for i in used.tolist()], np.int8)[at] if len(at) else np.zeros(0, np.int8)
-        bad = [np.concatenate([[0], np.cumsum((good & bit) == 0)]) for bit in (1, 2)]
-        parity, back = ((b[word_ends] - b[word_ends - sizes]) == 0 for b in bad)
-        return ids, ends, parity, back & np.array([MARKER not in t for t in texts], bool)
-
-
-_MARKED = re.compile(f"{MARKER}+[^{MARKER}]*|[^{MARKER}]+")
+            return [a == b for a, b in zip(ids, self.pieces.encode(texts, num_threads=self.threads))]
+        if len(self.checked) > REMEMBERED:
+            self.checked = set()
+        split = [t.split(" ") if "  " not in t and t[:1] != " " and t[-1:] != " " else [w[1:] for w in _SPACED.findall(f" {t}")] for t in texts]
+        new = list(set(chain.from_iterable(split)) - self.checked - {""})
+        self.checked.update(new)
+        self.wrong.update(w for w, a, b in zip(new, self._ids(new), self.pieces.encode(new, num_threads=self.threads)) if a != b)
+        return [not self.wrong or self.wrong.isdisjoint(words) for words in split]
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[bool], list[bool]]:
+        ids = self._ids(texts)
+        ends = np.cumsum([len(x) for x in ids], dtype=np.int64)
+        flat = np.fromiter(chain.from_iterable(ids), np.int32, int(ends[-1]) if len(ends) else 0)
+        joined = pc.take(self.bytes, pa.array(flat))
+        places = np.frombuffer(joined.buffers()[1], np.int64)[: len(flat) + 1] if len(flat) else np.zeros(1, np.int64)
+        data = memoryview(joined.buffers()[2] or b"")
+        cuts = [0, *places[ends].tolist()]
+        back = [bytes(data[a:b]) == (self.prefix + t.encode() if t else b"") for a, b, t in zip(cuts, cuts[1:], texts)]
+        return flat, ends, self._parity(texts, ids), back
+
+
+#: A word with the spaces before it, or the spaces at the end.
+_SPACED = re.compile(" +[^ ]*|[^ ]+")
 
 
 def encoded(docs: DataFrame, path: str = DEFAULT_MODEL, text: str = "text", with_ids: bool = True) -> DataFrame:
@@ -170,19 +153,22 @@ def encoded(docs: DataFrame, path: str = DEFAULT_MODEL, text: str = "text", with
     Columns of those names are replaced. One pass over the texts, no shuffle.
     """
     model = read_model(path)
-    shared = docs.sparkSession.sparkContext.broadcast((rebuilt(model).to_str(), model.SerializeToString(), word_by_word(model)))
+    spark = docs.sparkSession
+    threads = int(spark.sparkContext.getConf().get("spark.task.cpus", "1"))
+    shared = spark.sparkContext.broadcast((rebuilt(model).to_str(), model.SerializeToString(), word_by_word(model), threads))
     made = {"n_tokens": "long", "token_sha256": "string", "parity": "boolean", "round_trip": "boolean"}
     made |= {"token_ids": "array<int>"} if with_ids else {}
     rest = docs.drop(*made)
     names = [*rest.columns, *made]
-    named = rest.withColumn("_text_read", F.col(text).cast("string"))
+    column = free_name(docs.columns, "text_read")
+    named = rest.withColumn(column, F.col(text).cast("string"))
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rest.schema.fields), *(f"{k} {v}" for k, v in made.items())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _Encoder(*shared.value)
         for batch in batches:
-            for piece in slices(batch, "_text_read"):
-                at = piece.schema.get_field_index("_text_read")
+            for piece in slices(batch, column):
+                at = piece.schema.get_field_index(column)
                 ids, ends, parity, back = encoder.encode([t or "" for t in piece.column(at).to_pylist()])
                 starts = np.concatenate([[0], ends[:-1]])
                 digests = [hashlib.sha256(ids[a:b].astype("<i4").tobytes()).hexdigest() for a, b in zip(starts.tolist(), ends.tolist())]

@@ -32,10 +32,11 @@ def settings(spark: SparkSession, **values: str):
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
-def kept(df: DataFrame, name: str, batch_rows: int = BATCH_ROWS) -> DataFrame:
+def kept(df: DataFrame, name: str, batch_rows: int = BATCH_ROWS, row_group: int = 0) -> DataFrame:
     """The same rows, written once as Parquet beside the checkpoints and read back.
 
-    `batch_rows` bounds the Arrow batches of the step: small where rows are long.
+    `batch_rows` bounds the Arrow batches of the step: small where rows are long. `row_group` bounds
+    the bytes that a writer gathers before it writes, where the writers of an executor would fill its heap.
     Survives lost executors, cuts the lineage, and lets the shuffle files of the step go when it is over.
     """
     spark = df.sparkSession
@@ -46,8 +47,24 @@ def kept(df: DataFrame, name: str, batch_rows: int = BATCH_ROWS) -> DataFrame:
         spark__sql__execution__arrow__maxRecordsPerBatch=str(batch_rows),
         spark__sql__unionOutputPartitioning="false",
     ):
-        df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+        writer = df.write.option("compression", "zstd")
+        (writer.option("parquet.block.size", str(row_group)) if row_group else writer).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.kept_at = path
+    return out
+
+
+def kept_once(df: DataFrame, name: str) -> DataFrame:
+    """`df` itself if it comes straight from `kept`, else kept."""
+    return df if getattr(df, "kept_at", None) else kept(df, name)
+
+
+def free_name(taken: list[str], name: str) -> str:
+    """A column name like `name` that none of `taken` has."""
+    lower = {t.lower() for t in taken}
+    while f"_{name}".lower() in lower:
+        name += "_"
+    return f"_{name}"
 
 
 def dropped(*frames: DataFrame) -> None:
