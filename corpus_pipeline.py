@@ -17,6 +17,10 @@ from textspark.llm.queries import query
 from textspark.sources.tables import read_table
 
 
+#: Bytes a writer of token ids gathers; an executor has one writer a core.
+TOKEN_ROW_GROUP = 16 << 20
+
+
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that the discriminant, fitted on the labels of two folds of three, scores below one half."""
     labels = read_table(spark, sf_dir, "labels")
@@ -54,7 +58,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Adds token_ids, n_tokens, token_sha256, parity and round_trip. Written here, in batches of bounded size."""
-    return storage.kept(encoding.encoded(docs), "tokens")
+    return storage.kept(encoding.encoded(docs), "tokens", row_group=TOKEN_ROW_GROUP)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
@@ -73,5 +77,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = storage.kept(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        docs = storage.kept_once(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return docs
