@@ -11,7 +11,7 @@ from textspark.catalog.columns import _sql_tidy
 from textspark.catalog.registry import query
 from textspark.functions import clean, patterns
 from textspark.functions.tokens import ABBREVIATIONS, raw_tokens, word_tokens
-from textspark.operators import lexicon
+from textspark.operators import keywords, lexicon
 from textspark.operators.corpus import word_counts
 from textspark.operators.sparse import bag_of_words
 from textspark.plans import durable
@@ -33,6 +33,37 @@ def keyword_replace(spark, sf):
     return cleaned(spark, sf, lambda c: clean.replace_keywords(c, KEYWORDS))
 
 
+_TERMS = f"""tok AS (SELECT unnest(regexp_extract_all(lower(text), '{W}+')) AS term FROM documents),
+    terms AS (SELECT term FROM tok WHERE length(term) > 2 GROUP BY term HAVING count(*) > 1)"""
+
+
+def _table_sql(target: str) -> str:
+    """Every piece of a text that is in `terms` becomes `target`."""
+    return f"""WITH {_TERMS},
+    pieces AS (SELECT doc_id, unnest(p) AS piece, generate_subscripts(p, 1) AS i
+      FROM (SELECT doc_id, regexp_extract_all(text, '{W}+|{NW}+') AS p FROM documents)),
+    changed AS (SELECT doc_id, string_agg(CASE WHEN term IS NULL THEN piece ELSE {target} END, '' ORDER BY i) AS text
+      FROM pieces LEFT JOIN terms ON term = lower(piece) GROUP BY doc_id)
+    SELECT doc_id, coalesce(c.text, d.text) AS text FROM documents d LEFT JOIN changed c USING (doc_id)"""
+
+
+def _term_table(spark, sf):
+    """A dictionary that grows with the corpus: every word of three letters and more that occurs twice."""
+    counts = word_counts(documents(spark, sf), raw_tokens(F.col("text")))
+    return counts.filter((F.col("n") > 1) & (F.length("term") > 2)).select(F.col("term").alias("keyword"))
+
+
+@query("keyword_table", _table_sql("concat('k', substr(md5(term), 1, 6))"))
+def keyword_table(spark, sf):
+    terms = _term_table(spark, sf).withColumn("replacement", F.concat(F.lit("k"), F.substring(F.md5("keyword"), 1, 6)))
+    return keywords.replace_from_table(documents(spark, sf).select("doc_id", "text"), "text", terms)
+
+
+@query("stopword_table", _table_sql("' '"))
+def stopword_table(spark, sf):
+    return keywords.remove_from_table(documents(spark, sf).select("doc_id", "text"), "text", _term_table(spark, sf))
+
+
 @query(
     "regex_replace",
     r"""SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(text, '(?:tion|ing)', 'TION', 'gi'),

@@ -10,7 +10,7 @@ from textspark.catalog.phrasing import merged_sentences
 from textspark.catalog.registry import query
 from textspark.functions import tokens
 from textspark.functions.patterns import URL
-from textspark.operators import evaluate, gradient, learn, project, sampling, sparse
+from textspark.operators import evaluate, gradient, learn, project, sampling, sgd, sparse
 from textspark.operators.bayes import NaiveBayes
 from textspark.operators.phrases import display
 from textspark.plans import durable
@@ -374,3 +374,102 @@ def gd_predict(spark, sf):
     weights = gradient.fit(points, ["x", "y"], "t", **_OPTIONS)
     scored = gradient.predict(points, ["x", "y"], weights)
     return scored.select("p_partkey", r6("probability").alias("probability"), "prediction")
+
+
+# Mini-batch descent with the weights as a table ---------------------------------------------------------------
+BATCHES, EPOCHS, SEED = 2, 2, 7
+_SGD = dict(rate=0.8, decay=0.5, l2=0.01, batches=BATCHES, epochs=EPOCHS, seed=SEED)
+
+
+def _sgd_sql(loss: str) -> str:
+    """The same steps on the two features and the intercept, one CTE a step."""
+    side = "(2 * t - 1)"
+    slope = "1.0 / (1.0 + exp(-m)) - t" if loss == "log" else f"CASE WHEN {side} * m < 1.0 THEN -{side} ELSE 0.0 END"
+    ctes = [_POINTS, f"batch AS (SELECT *, ('0x' || substr(md5(p_partkey || ':{SEED}'), 1, 8))::BIGINT % {BATCHES} AS b FROM pts)"]
+    ctes.append("s0 AS (SELECT 0.0::DOUBLE AS wx, 0.0::DOUBLE AS wy, 0.0::DOUBLE AS wc)")
+    for i in range(BATCHES * EPOCHS):
+        rate = _SGD["rate"] / (1.0 + _SGD["decay"] * i)
+        ctes.append(
+            f"d{i} AS (SELECT avg(e * x) AS gx, avg(e * y) AS gy, avg(e) AS gc FROM (SELECT x, y, {slope} AS e "
+            f"FROM (SELECT x, y, t, wx * x + wy * y + wc AS m FROM batch, s{i} WHERE b = {i % BATCHES})))"
+        )
+        ctes.append(
+            f"s{i + 1} AS (SELECT wx - {rate}::DOUBLE * (gx + {_SGD['l2']}::DOUBLE * wx) AS wx, "
+            f"wy - {rate}::DOUBLE * (gy + {_SGD['l2']}::DOUBLE * wy) AS wy, wc - {rate}::DOUBLE * gc AS wc FROM s{i}, d{i})"
+        )
+    return ", ".join(ctes)
+
+
+_LAST = BATCHES * EPOCHS
+
+
+def _sgd_points(spark, sf, loss: str):
+    points = _points(spark, sf)
+    long = points.select("p_partkey", F.explode(F.create_map(F.lit("x"), F.col("x"), F.lit("y"), F.col("y"))).alias("term", "value"))
+    labels = points.select("p_partkey", F.col("t").cast("int").alias("label"))
+    return sgd.fit(long, labels, "p_partkey", classes=[0, 1], loss=loss, **_SGD), long, points.select("p_partkey")
+
+
+def _sgd_weights_sql(loss: str) -> str:
+    cells = " UNION ALL ".join(f"SELECT '{term}' AS term, {s6(w)} AS w FROM s{_LAST}" for term, w in (("x", "wx"), ("y", "wy"), (sgd.INTERCEPT, "wc")))
+    return f"WITH {_sgd_sql(loss)} {cells}"
+
+
+@query("sgd_fit", _sgd_weights_sql("log"))
+def sgd_fit(spark, sf):
+    return _sgd_points(spark, sf, "log")[0].weights.select("term", r6(F.col("w")[0]).alias("w"))
+
+
+@query("sgd_hinge_fit", _sgd_weights_sql("hinge"))
+def sgd_hinge_fit(spark, sf):
+    return _sgd_points(spark, sf, "hinge")[0].weights.select("term", r6(F.col("w")[0]).alias("w"))
+
+
+@query(
+    "sgd_predictions",
+    f"""WITH {_sgd_sql("log")} SELECT p_partkey, {s6("wx * x + wy * y + wc")} AS score, (wx * x + wy * y + wc > 0)::INT AS prediction
+    FROM pts, s{_LAST}""",
+)
+def sgd_predictions(spark, sf):
+    model, long, keys = _sgd_points(spark, sf, "log")
+    return model.predict(long, keys).select("p_partkey", r6(F.col("scores")[0]).alias("score"), "prediction")
+
+
+# The first step from zero needs no vocabulary in one place either: its gradient is a sum that SQL can make too.
+_TEXT_RATE = 40.0
+_TEXT_SQL = f"""{BOW_SQL},
+x AS (SELECT doc_id, term, n / sum(n) OVER (PARTITION BY doc_id)::DOUBLE AS value FROM bow
+  UNION ALL SELECT doc_id, '{sgd.INTERCEPT}', 1.0 FROM documents),
+labels_of AS (SELECT doc_id, lang FROM documents WHERE lang IS NOT NULL),
+classes AS (SELECT DISTINCT lang AS class FROM labels_of),
+size AS (SELECT count(*)::DOUBLE AS n FROM labels_of),
+w AS (SELECT c.class, x.term, sum(x.value * (CASE WHEN l.lang = c.class THEN 0.5 ELSE -0.5 END)) / any_value(size.n) * {_TEXT_RATE} AS w
+  FROM x JOIN labels_of l USING (doc_id), classes c, size GROUP BY ALL)"""
+
+
+def _sgd_text(spark, sf):
+    docs = documents(spark, sf)
+    counts = sparse.bag_of_words(docs, "doc_id", tokens.word_tokens(F.col("text")))
+    long = durable(counts.join(counts.groupBy("doc_id").agg(F.sum("n").alias("_all")), "doc_id").select("doc_id", "term", (F.col("n") / F.col("_all")).alias("value")))
+    labels = docs.select("doc_id", F.col("lang").alias("label"))
+    return sgd.fit(long, labels, "doc_id", rate=_TEXT_RATE, batches=1, epochs=1), long, docs.select("doc_id")
+
+
+@query(
+    "sgd_text_weights",
+    f"""WITH {_TEXT_SQL} SELECT term, class, {s6("w")} AS w FROM w""",
+)
+def sgd_text_weights(spark, sf):
+    model, _, _ = _sgd_text(spark, sf)
+    cells = F.arrays_zip(F.array(*map(F.lit, model.classes)).alias("class"), F.col("w").alias("w"))
+    return model.weights.select("term", F.explode(cells).alias("c")).select("term", F.col("c.class").alias("class"), r6(F.col("c.w")).alias("w"))
+
+
+@query(
+    "sgd_text_scores",
+    f"""WITH {_TEXT_SQL} SELECT x.doc_id, w.class, {s6("sum(x.value * w.w)")} AS score FROM x JOIN w USING (term) GROUP BY ALL""",
+)
+def sgd_text_scores(spark, sf):
+    model, long, keys = _sgd_text(spark, sf)
+    cells = F.arrays_zip(F.array(*map(F.lit, model.classes)).alias("class"), F.col("scores").alias("score"))
+    return model.scores(long, keys).select("doc_id", F.explode(cells).alias("c")).select("doc_id", F.col("c.class").alias("class"), r6(F.col("c.score")).alias("score"))
