@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from textspark.catalog import QUERIES, SQL, load_all
 from textspark.functions import tokens
-from textspark.operators import learn, project
+from textspark.operators import learn
 from textspark.plans.stages import CleanerStage, ColumnStage, TokenStage
 from textspark.sources import pages, posts
 from textspark.streaming import ingest
@@ -199,15 +199,6 @@ def test_column_stage_runs_user_code(texts):
     assert out.back == "cba"
 
 
-def test_svd_rows_are_unit_and_signed(spark):
-    from pyspark.ml.linalg import Vectors
-
-    cells = [(i, Vectors.dense([float(i % 3), float(i % 2), 1.0])) for i in range(12)]
-    df = spark.createDataFrame(cells, ["id", "features"])
-    rows = project.svd_project(df, "id", 2).collect()
-    assert len(rows) == 12 and all(abs(sum(x * x for x in r.vector) - 1) < 1e-9 for r in rows)
-
-
 def test_fits_show_predictions_and_explanations(spark, tmp_path):
     """Every held-out row is predicted, every document explained, and a label without held-out rows is not called accurate."""
     words = {"xx": "aa bb cc dd", "yy": "ee ff gg hh", "zz": "ii jj kk ll"}

@@ -10,7 +10,7 @@ from textspark.catalog.phrasing import merged_sentences
 from textspark.catalog.registry import query
 from textspark.functions import tokens
 from textspark.functions.patterns import URL
-from textspark.operators import evaluate, gradient, learn, project, sampling, sgd, sparse
+from textspark.operators import evaluate, gradient, learn, project, sampling, sgd, sparse, svd
 from textspark.operators.bayes import NaiveBayes
 from textspark.operators.phrases import display
 from textspark.plans import durable
@@ -237,10 +237,13 @@ def explain_rows(spark, sf):
 
 
 def _projected(spark, sf):
+    """Unit document vectors over the first 50 components of TF-IDF, for words in 3 documents to half of them."""
     data = documents(spark, sf).select("doc_id", "text", F.col("lang").alias("label"))
-    words = TokenStage(inputCol="text", outputCol="tokens", analyzer="word")
-    features = Pipeline(stages=learn.tfidf_stages(words, 3.0, 0.5)).fit(data).transform(data)
-    return project.svd_project(features, "doc_id", 50), data
+    bow = durable(sparse.bag_of_words(data, "doc_id", tokens.word_tokens(F.col("text"))))
+    n_docs = sparse.row_count(data)
+    stats = durable(sparse.prune(sparse.fit_terms(bow), n_docs, 3, 0.5))
+    features = durable(sparse.normalize(sparse.tfidf(bow, stats, n_docs), "doc_id"))
+    return svd.decompose(features, "doc_id", 50).project(features, data, "doc_id", unit=True), data
 
 
 @query("svd_project")
@@ -248,6 +251,20 @@ def svd_project(spark, sf):
     return _projected(spark, sf)[0]
 
 
+_PLANE_SQL = f"""{{points}}, gram AS (SELECT sum(x * x) AS a, sum(x * y) AS b, sum(y * y) AS c FROM pts),
+top AS (SELECT a, b, c, (a + c) / 2 + sqrt(((a - c) / 2) ** 2 + b * b) AS l1, (a + c) / 2 - sqrt(((a - c) / 2) ** 2 + b * b) AS l2 FROM gram),
+raw AS (SELECT l1, l2, b / sqrt(b * b + (l1 - a) ** 2) AS vx, (l1 - a) / sqrt(b * b + (l1 - a) ** 2) AS vy FROM top),
+signed AS (SELECT l1, l2, vx, vy, CASE WHEN greatest(abs(vx), abs(vy)) = abs(vx) THEN sign(vx) ELSE sign(vy) END AS s1,
+  CASE WHEN greatest(abs(vx), abs(vy)) = abs(vy) THEN sign(-vy) ELSE sign(vx) END AS s2 FROM raw)"""
+
+
+def _plane(spark, sf):
+    """Two features a point, whose Gram matrix has a closed form."""
+    points = _points(spark, sf)
+    long = points.select("p_partkey", F.explode(F.create_map(F.lit("x"), F.col("x"), F.lit("y"), F.col("y"))).alias("term", "value"))
+    return svd.decompose(long, "p_partkey", 2), long, points
+
+
 @query("text_map")
 def text_map(spark, sf):
     projected, data = _projected(spark, sf)
@@ -473,3 +490,28 @@ def sgd_text_scores(spark, sf):
     model, long, keys = _sgd_text(spark, sf)
     cells = F.arrays_zip(F.array(*map(F.lit, model.classes)).alias("class"), F.col("scores").alias("score"))
     return model.scores(long, keys).select("doc_id", F.explode(cells).alias("c")).select("doc_id", F.col("c.class").alias("class"), r6(F.col("c.score")).alias("score"))
+
+
+# Singular vectors of two features, in closed form -------------------------------------------------------------
+_PLANE = "WITH " + _PLANE_SQL.format(points=_POINTS)
+
+
+@query(
+    "svd_plane",
+    f"""{_PLANE} SELECT p_partkey, {s6("s1 * (x * vx + y * vy)")} AS first, {s6("s2 * (y * vx - x * vy)")} AS second FROM pts, signed""",
+)
+def svd_plane(spark, sf):
+    model, long, points = _plane(spark, sf)
+    out = model.project(long, points, "p_partkey")
+    return out.select("p_partkey", r6(F.col("vector")[0]).alias("first"), r6(F.col("vector")[1]).alias("second"))
+
+
+@query(
+    "svd_plane_factor",
+    f"""{_PLANE} SELECT 'x' AS term, {s6("s1 * vx")} AS first, {s6("-s2 * vy")} AS second, {s6("sqrt(l1)")} AS size FROM signed
+    UNION ALL SELECT 'y', {s6("s1 * vy")}, {s6("s2 * vx")}, {s6("sqrt(l2)")} FROM signed""",
+)
+def svd_plane_factor(spark, sf):
+    model, _, _ = _plane(spark, sf)
+    size = F.when(F.col("term") == "x", model.values[0]).otherwise(model.values[1])
+    return model.factor.select("term", r6(F.col("vector")[0]).alias("first"), r6(F.col("vector")[1]).alias("second"), r6(size).alias("size"))

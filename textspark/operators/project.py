@@ -1,44 +1,11 @@
-"""Low-dimensional projections of sparse document vectors."""
+"""Two-dimensional maps of documents."""
 
 from __future__ import annotations
 
-import numpy as np
-from pyspark import StorageLevel
-from pyspark.mllib.linalg import Matrices
-from pyspark.mllib.linalg.distributed import IndexedRowMatrix
-from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def svd_project(df: DataFrame, key: str, k: int, features: str = "features", unit: bool = True) -> DataFrame:
-    """(key, vector): the rows times the first k right singular vectors, then scaled to length 1.
-
-    The matrix is not centred. Only the terms x k factor is held in one place; each component's sign is
-    fixed so that its largest absolute entry is positive.
-    """
-    # The solver passes over the rows many times.
-    kept = df.select(F.col(key).cast("bigint").alias("index"), F.col(features).alias("vector")).persist(
-        StorageLevel.MEMORY_AND_DISK
-    )
-    rows = MLUtils.convertVectorColumnsFromML(kept, "vector")
-    matrix = IndexedRowMatrix(rows)
-    v = matrix.computeSVD(k, computeU=False).V.toArray()
-    signs = np.sign(v[np.abs(v).argmax(axis=0), np.arange(v.shape[1])])
-    signs[signs == 0] = 1.0
-    v = v * signs
-    local = Matrices.dense(v.shape[0], v.shape[1], v.flatten(order="F"))
-    projected = matrix.multiply(local).rows.map(lambda r: (r.index, [float(x) for x in r.vector.toArray()]))
-    out = df.sparkSession.createDataFrame(projected, f"{key} bigint, vector array<double>")
-    if not unit:
-        return out
-    size = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x))
-    return out.withColumn("_size", size).select(
-        key,
-        F.transform("vector", lambda x: F.when(F.col("_size") == 0, x).otherwise(x / F.col("_size"))).alias("vector"),
-    )
-
-
 def text_map(projected: DataFrame, documents: DataFrame, key: str, label: str, text: str) -> DataFrame:
     """(key, x, y, label, text): the first two components as coordinates."""
     return projected.select(
