@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textspark.llm.near import COORDINATES, SHINGLE, _MULTIPLIERS, _SHIFTS, signatures
-from textspark.llm.storage import by_slices, kept
+from textspark.llm.storage import Shared, by_slices, free_name, kept
 from textspark.llm.words import shingle_sets, span_hashes, split_words
 
 THRESHOLD = 0.5
@@ -138,24 +138,21 @@ def with_matches(docs: DataFrame, items: DataFrame, name: str = "_matches", thre
     total = known.agg(F.sum(F.size("shingles"))).first()[0]
     portions = -(-(total or 0) // portion)
     docs = docs.withColumn(name, F.array().cast(_MATCH))
+    read, new = free_name(docs.columns, "text_read"), free_name(docs.columns, "new")
     for k in range(portions):
         mine = known.filter(F.pmod(F.xxhash64("item"), F.lit(portions)) == k)
         table = mine.toArrow()
         if not table.num_rows:
             continue
-        shared = spark.sparkContext.broadcast(_portion(table))
+        shared = Shared(spark, _portion(table))
 
         def find(batch: pa.RecordBatch, shared=shared) -> pa.RecordBatch:
-            at = batch.schema.get_field_index("_text_read")
-            found = pa.array(_matches(shared.value, batch.column(at), threshold), batch.schema.field(name + "_new").type)
-            return batch.set_column(batch.schema.get_field_index(name + "_new"), name + "_new", found)
-
-        named = docs.withColumn("_text_read", F.col("text").cast("string")).withColumn(name + "_new", F.array().cast(_MATCH))
-        docs = (
-            named.mapInArrow(by_slices(find, "_text_read"), named.schema)
-            .withColumn(name, F.concat(name, name + "_new"))
-            .drop("_text_read", name + "_new")
-        )
+            at = batch.schema.get_field_index(read)
+            found = pa.array(_matches(shared.value, batch.column(at), threshold), batch.schema.field(new).type)
+            return batch.set_column(batch.schema.get_field_index(new), new, found)
+
+        named = docs.withColumn(read, F.col("text").cast("string")).withColumn(new, F.array().cast(_MATCH))
+        docs = named.mapInArrow(by_slices(find, read), named.schema).withColumn(name, F.concat(name, new)).drop(read, new)
     return docs
 
 

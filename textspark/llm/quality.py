@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textspark.llm.storage import by_slices, dropped, kept, remainder
+from textspark.llm.storage import Shared, by_slices, dropped, free_name, kept, remainder
 from textspark.llm.words import first_of_runs, split_words
 
 SHRINKAGE = 0.05
@@ -187,7 +187,7 @@ def held_out() -> F.Column:
 def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every document."""
     rows = kept(features(docs), "features")
-    shared = docs.sparkSession.sparkContext.broadcast(fit(rows.filter(~held_out()), labels))
+    shared = Shared(docs.sparkSession, fit(rows.filter(~held_out()), labels))
     d = len(FEATURES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,11 +206,12 @@ def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def with_quality(docs: DataFrame, model: Discriminant, name: str = "quality_score") -> DataFrame:
     """`docs` with the score of each row's text, in one pass."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    named = docs.drop(name).withColumn(name, F.lit(0.0)).withColumn("_text_read", F.col("text").cast("string"))
+    shared = Shared(docs.sparkSession, model)
+    read = free_name(docs.columns, "text_read")
+    named = docs.drop(name).withColumn(name, F.lit(0.0)).withColumn(read, F.col("text").cast("string"))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        x = statistics(batch.column(batch.schema.get_field_index("_text_read")))
+        x = statistics(batch.column(batch.schema.get_field_index(read)))
         return batch.set_column(batch.schema.get_field_index(name), name, pa.array(shared.value.score(x)))
 
-    return named.mapInArrow(by_slices(run, "_text_read"), named.schema).drop("_text_read")
+    return named.mapInArrow(by_slices(run, read), named.schema).drop(read)

@@ -8,6 +8,7 @@ from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,6 +60,22 @@ def kept_once(df: DataFrame, name: str) -> DataFrame:
     return df if getattr(df, "kept_at", None) else kept(df, name)
 
 
+class Shared:
+    """A broadcast value of this package's own classes, which executors need not be able to import."""
+
+    def __init__(self, spark: SparkSession, value):
+        self.packed = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    @property
+    def value(self):
+        if "_value" not in self.__dict__:
+            self._value = cloudpickle.loads(self.packed.value)
+        return self._value
+
+    def __getstate__(self):
+        return {"packed": self.packed}
+
+
 def free_name(taken: list[str], name: str) -> str:
     """A column name like `name` that none of `taken` has."""
     lower = {t.lower() for t in taken}
