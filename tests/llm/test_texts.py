@@ -265,7 +265,7 @@ def test_notices_in_their_line_breaks(mark, width):
     scanner = licenses._Scanner(licenses.TEMPLATES)
     for name, template in licenses.TEMPLATES.items():
         text = f"code = 1\n{mark}\n{broken(template, width, mark)}\n{mark}\nmore = 2"
-        got = [(line, found, n) for line, found, _, _, n, _ in scanner.scan(text)]
+        got = [(line, found, n) for line, found, _, _, _, n, _ in scanner.scan(text)]
         assert got == [(3, name, 0)], (name, got)
 
 
@@ -274,7 +274,7 @@ def test_published_line_breaks():
     go = "// Use of this source code is governed by a BSD-style\n// license that can be found in the LICENSE file."
     isc = "/*\n * Permission to use, copy, modify, and/or distribute this software for any\n * purpose with or without fee is hereby granted, provided that the above\n * copyright notice and this permission notice appear in all copies.\n */"
     mpl = "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not distributed with this\nfile, You can obtain one at http://mozilla.org/MPL/2.0/."
-    found = [[(line, name, n) for line, name, _, _, n, _ in scanner.scan(t)] for t in (go, isc, mpl)]
+    found = [[(line, name, n) for line, name, _, _, _, n, _ in scanner.scan(t)] for t in (go, isc, mpl)]
     assert found == [[(1, "BSD-line", 0)], [(2, "ISC", 0)], [(1, "MPL-2.0", 0)]]
 
 
@@ -288,6 +288,58 @@ def test_notices_that_share_a_line():
     assert names(text) == sorted(["All-Rights-Reserved"] * 2 + [*lines, "MIT", "ISC", "Unlicense"])
 
 
+def test_templates_without_usual_words(corpus):
+    """The gate comes from the templates: one in other words is found, with up to a tenth of its words missing."""
+    own = "You may bake this cake on Sundays if every guest receives a slice and nobody counts the candles before midnight today"
+    text = f"recipe\n{own.replace('guest', 'friend').replace('Sundays', 'Mondays')}\nend"
+    got = licenses.notices(corpus((1, text), (2, own[:60]), (3, None)), {"Cake": own}).collect()
+    assert [(r.doc_id, r.line, r.license, r.rank, r.n_different) for r in got] == [(1, 2, "Cake", 1, 2)]
+    assert licenses.notices(corpus((1, text)), {}).collect() == []
+
+
+def test_every_match_holds_an_anchor():
+    rng = random.Random(4)
+    for name, template in licenses.TEMPLATES.items():
+        words = licenses.words_of(template)
+        marks = licenses.anchors(words)
+        most = int(licenses.DIFFERENT * len(words))
+        assert sum(w in marks for w in words) > most
+        for _ in range(20):
+            gone = set(rng.sample(range(len(words)), most))
+            assert any(w in marks for i, w in enumerate(words) if i not in gone), name
+
+
+def test_compression_ranks_choose_the_winner(monkeypatch):
+    """Equally many words differ; the template that saves more bytes of the block wins, whatever its name."""
+    wording = "the holder of this sheet may copy lend or print it for {} and pass it on to any other reader without asking"
+    near, far = wording.format("noncommercialities"), wording.format("zzqqxxjjkkvvwwyypp")
+    text = wording.format("noncommercialitiez")
+    for names in (("a", "b"), ("b", "a")):
+        scanner = licenses._Scanner({names[0]: near, names[1]: far})
+        assert [(name, rank, n) for _, name, rank, _, _, n, _ in scanner.scan(text)] == [(names[0], 1, 1)]
+        ranked = scanner.ranked(licenses.words_of(text))
+        assert [r[0] for r in ranked] == list(names) and ranked[0][1] > ranked[1][1]
+        monkeypatch.setattr(scanner, "ranked", lambda block: ranked[::-1])
+        assert [name for _, name, *_ in scanner.scan(text)] == [names[1]]
+
+
+def test_notices_across_blocks():
+    """One line of many blocks: each notice is found once, those that a block's edge cuts too."""
+    scanner = licenses._Scanner(licenses.TEMPLATES)
+    rng = random.Random(12)
+    for _ in range(5):
+        put, text = [], []
+        for _ in range(40):
+            name = rng.choice(list(licenses.TEMPLATES))
+            put.append(name)
+            text += [licenses.TEMPLATES[name], " ".join(f"w{rng.randrange(99)}" for _ in range(rng.randrange(1, 60)))]
+        found = [(name, n) for _, name, _, _, _, n, _ in scanner.scan(" ".join(text))]
+        assert sorted(found) == sorted((name, 0) for name in put)
+    for size, reach in ((1, 5), (5, 5), (6, 5), (39, 5), (40, 5), (41, 5), (400, 7)):
+        cut = list(licenses.blocks(3, 3 + size, reach))
+        assert all(any(a <= i and min(i + reach, 3 + size) <= b for a, b in cut) for i in range(3, 3 + size))
+
+
 def test_distances_against_the_matrix():
     rng = random.Random(10)
     for _ in range(200):

@@ -1,19 +1,22 @@
-"""License notices in texts by wording, told apart by conditional compression.
-
-Places where a text may carry a notice are the lines with a cue and the words before and after them, as far as the longest
-template reaches with the differences it may have. Every template is laid on a place, unless the place lacks too many
-of its words for any match: its words and the place's are aligned with the fewest words missing, changed or interrupted by others
-(Levenshtein distance over words), and the notice is confirmed if these are at most `DIFFERENT` of the template's words
-and it shares a word with a line with a cue. Every match is reported, at the line where it begins. Of templates that cover
-the same words of a text the closest wins; of equally close ones the one that saves the largest share of bytes when the
-match's lines are compressed with the template as a raw zstandard dictionary.
-
-Texts never leave their task and nothing is shuffled. Defined results: null and empty texts carry no notice; a row that
-repeats another reports its own; a notice that occurs twice in a text is reported twice, also within a line.
+"""License notices in texts by conditional compression, confirmed by wording.
+
+Of each template as many rare (long) words are anchors as a match could miss and one more, so every match holds one of
+them; texts without an anchor are passed over. The words around anchors, as far as the longest match reaches, are cut
+into overlapping blocks. Each block is compressed with every template as a raw zstandard dictionary, unless it lacks too
+many of the template's words for any match, and the templates are ranked by the share of bytes they save. In that order
+they are laid on the block: template and words are aligned with the fewest words missing, changed or interrupted by
+others (Levenshtein distance over words), and a notice is confirmed if these are at most `DIFFERENT` of the template's
+words. Every confirmed notice is reported, at the line where it begins, whatever its rank. Of templates that cover the
+same words the one with more of them in place wins; of equal ones the one that ranks first.
+
+Texts never leave their task and nothing is shuffled; a very long text is handled alone, its blocks one after another.
+Defined results: null and empty texts carry no notice; a row that repeats another reports its own; a notice that occurs
+twice in a text is reported twice, also within a line; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
 
+import bisect
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -23,17 +26,11 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textspark.llm.storage import kept
+from textspark.llm.storage import by_slices, kept
 
 DIFFERENT = 0.1
 LEVEL = 19
 
-# Words that a notice holds, in lower case.
-CUES = (
-    "licen", "copyright", "rights reserved", "spdx", "hereby granted", "public domain", "redistribution", "warrant", "copyleft",
-    "creative commons", "creativecommons",
-)
-
 # Wordings of notices by identifier.
 TEMPLATES = {
     "All-Rights-Reserved": "All rights reserved.",
@@ -66,18 +63,35 @@ def words_of(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
-def places(cued: list[bool], reach: int) -> Iterator[tuple[int, int]]:
-    """(first, end) of the words within `reach` of a word in a line with a cue; `cued` marks those."""
+def anchors(words: list[str]) -> set[str]:
+    """Words of a template that a match with at most `DIFFERENT` of its words missing cannot all lack, the longest ones."""
+    counts, found, held = Counter(words), set(), 0
+    for word in sorted(counts, key=lambda w: (-len(w), w)):
+        if held > int(DIFFERENT * len(words)):
+            break
+        found.add(word)
+        held += counts[word]
+    return found
+
+
+def places(marked: list[int], size: int, reach: int) -> Iterator[tuple[int, int]]:
+    """(first, end) of the words, of `size` in all, within `reach` of a marked one."""
     start = end = None
-    for i in (i for i, cue in enumerate(cued) if cue):
+    for i in marked:
         if end is not None and i - reach > end:
-            yield start, min(end, len(cued))
+            yield start, min(end, size)
             start = None
         if start is None:
             start = max(0, i - reach)
         end = i + reach + 1
     if start is not None:
-        yield start, min(end, len(cued))
+        yield start, min(end, size)
+
+
+def blocks(first: int, end: int, reach: int) -> Iterator[tuple[int, int]]:
+    """Cuts a place into blocks so that any `reach` words of it lie whole in one."""
+    for start in range(first, max(end - reach, first + 1), 3 * reach):
+        yield start, min(start + 4 * reach, end)
 
 
 def distances(template: list[str], words: list[str], anchored: bool) -> Iterator[int]:
@@ -149,74 +163,93 @@ def laid_on(template: list[str], words: list[str], most: int) -> list[tuple[int,
 
 class _Scanner:
     def __init__(self, templates: dict[str, str]):
-        self.names = sorted(templates)
-        self.words = {name: words_of(templates[name]) for name in self.names}
+        self.words = {name: words for name in sorted(templates) if (words := words_of(templates[name]))}
         self.counts = {name: Counter(words) for name, words in self.words.items()}
         self.most = {name: int(DIFFERENT * len(words)) for name, words in self.words.items()}
-        self.reach = max(len(self.words[n]) + self.most[n] for n in self.names)
+        self.reach = max((len(words) + self.most[name] for name, words in self.words.items()), default=0)
+        self.anchors = frozenset().union(*(anchors(words) for words in self.words.values()))
         self.alone = zstandard.ZstdCompressor(level=LEVEL, write_content_size=False)
         self.given = {}
-        for name in self.names:
-            raw = templates[name].encode()
+        for name, words in self.words.items():
             # A raw dictionary needs eight bytes.
-            kept_raw = zstandard.ZstdCompressionDict(raw.ljust(8), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            self.given[name] = zstandard.ZstdCompressor(level=LEVEL, dict_data=kept_raw, write_content_size=False, write_dict_id=False)
-
-    def saved(self, name: str, block: str) -> float:
-        """The share of bytes that the template saves."""
-        raw = block.encode("utf-8", "replace")
+            raw = zstandard.ZstdCompressionDict(" ".join(words).encode().ljust(8), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            self.given[name] = zstandard.ZstdCompressor(level=LEVEL, dict_data=raw, write_content_size=False, write_dict_id=False)
+
+    def ranked(self, block: list[str]) -> list[tuple[str, float]]:
+        """Templates whose words the block has enough of for a match, with the share of its bytes each saves, most first."""
+        there = Counter(block)
+        names = [
+            name for name, counts in self.counts.items()
+            if sum(min(n, there[w]) for w, n in counts.items()) >= len(self.words[name]) - self.most[name]
+        ]
+        if not names:
+            return []
+        raw = " ".join(block).encode("utf-8", "replace")
         size = len(self.alone.compress(raw))
-        return (size - len(self.given[name].compress(raw))) / size
-
-    def scan(self, text: str) -> Iterator[tuple[int, str, float, int, int, str]]:
+        return sorted(((name, 1 - len(self.given[name].compress(raw)) / size) for name in names), key=lambda x: (-x[1], x[0]))
+
+    def confirmed(self, words: list[str], first: int, end: int) -> list[tuple[int, int, int, int, float, str]]:
+        """(first word, end, words that differ, rank, saved, template) of the matches in a place, in rank order by block."""
+        found: list[tuple[int, int, int, int, float, str]] = []
+        for start, stop in blocks(first, end, self.reach):
+            block = words[start:stop]
+            for rank, (name, saved) in enumerate(self.ranked(block), 1):
+                for low, high, n in laid_on(self.words[name], block, self.most[name]):
+                    found.append((low + start, high + start, n, rank, saved, name))
+        # Blocks overlap: of a template's matches that share words the closest stays, of equal ones the first.
+        best: list[tuple[int, int, int, int, float, str]] = []
+        taken: dict[str, list[tuple[int, int]]] = {}
+        for match in sorted(found, key=lambda x: (x[2], x[0], x[3])):
+            spans = taken.setdefault(match[5], [])
+            at = bisect.bisect(spans, match[:2])
+            if (at == 0 or spans[at - 1][1] <= match[0]) and (at == len(spans) or spans[at][0] >= match[1]):
+                spans.insert(at, match[:2])
+                best.append(match)
+        return sorted(best)
+
+    def scan(self, text: str) -> Iterator[tuple[int, str, int, float, int, int, str]]:
         lowered = text.lower()
-        cues = [cue for cue in CUES if cue in lowered]
-        if not cues:
+        if not any(anchor in lowered for anchor in self.anchors):
             return
-        lines = text.split("\n")
-        words, line_of, cued = [], [], []
-        for i, line in enumerate(lines):
+        words, line_of = [], []
+        for i, line in enumerate(text.split("\n")):
             own = words_of(line)
             words += own
             line_of += [i] * len(own)
-            cued += [any(cue in line.lower() for cue in cues)] * len(own)
-        for first, end in places(cued, self.reach):
-            block = words[first:end]
-            there = Counter(block)
-            found = []
-            for name in self.names:
-                template = self.words[name]
-                if sum(min(n, there[w]) for w, n in self.counts[name].items()) < len(template) - self.most[name]:
-                    continue
-                for low, high, n in laid_on(template, block, self.most[name]):
-                    low, high = low + first, high + first
-                    if any(cued[low:high]):
-                        saved = self.saved(name, "\n".join(lines[line_of[low] : line_of[high - 1] + 1]))
-                        found.append((low, high, n, saved, name))
-            for low, high, n, saved, name in sorted(found, key=lambda x: (line_of[x[0]], x[4], x[0])):
-                # Dropped if another template covers the same words and more, or the same with fewer differences.
+        marked = [i for i, word in enumerate(words) if word in self.anchors]
+        for first, end in places(marked, len(words), self.reach):
+            found = self.confirmed(words, first, end)
+            lows = [match[0] for match in found]
+            for low, high, n, rank, saved, name in sorted(found, key=lambda x: (line_of[x[0]], x[5], x[0])):
+                # Dropped if another template covers the same words and more, or the same with fewer differences, or ranks first.
+                near = found[bisect.bisect_left(lows, high - self.reach) : bisect.bisect_right(lows, low)]
                 if not any(
-                    o != name and l <= low and h >= high and (h - l - m, -m, s, name) > (high - low - n, -n, saved, o)
-                    for l, h, m, s, o in found
+                    o != name and h >= high and (h - l - m, -m, -r, s, name) > (high - low - n, -n, -rank, saved, o) for l, h, m, r, s, o in near
                 ):
-                    yield line_of[low] + 1, name, saved, len(self.words[name]), n, " ".join(differing(self.words[name], words[low:high]) if n else [])
+                    differences = " ".join(differing(self.words[name], words[low:high])) if n else ""
+                    yield line_of[low] + 1, name, rank, saved, len(self.words[name]), n, differences
 
 
 def notices(docs: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:
-    """(doc_id, line, license, saved, n_words, n_different, differences) of every confirmed notice."""
-    templates = dict(templates or TEMPLATES)
+    """(doc_id, line, license, rank, saved, n_words, n_different, differences) of every confirmed notice.
+
+    `rank` is the template's among those its block was compressed with, by `saved`, the share of the block's bytes.
+    """
+    templates = TEMPLATES if templates is None else dict(templates)
+    kinds = (pa.int64(), pa.int32(), pa.string(), pa.int32(), pa.float64(), pa.int32(), pa.int32(), pa.string())
+    names = ["doc_id", "line", "license", "rank", "saved", "n_words", "n_different", "differences"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = _Scanner(templates)
-        for batch in batches:
+
+        def found(batch: pa.RecordBatch) -> pa.RecordBatch | None:
             rows = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                rows += [(doc, *found) for found in scanner.scan(text.as_py() or "")]
-            if rows:
-                kinds = (pa.int64(), pa.int32(), pa.string(), pa.float64(), pa.int32(), pa.int32(), pa.string())
-                columns = [pa.array(values, kind) for values, kind in zip(zip(*rows), kinds)]
-                yield pa.record_batch(columns, ["doc_id", "line", "license", "saved", "n_words", "n_different", "differences"])
+                rows += [(doc, *match) for match in scanner.scan(text.as_py() or "")]
+            return pa.record_batch([pa.array(values, kind) for values, kind in zip(zip(*rows), kinds)], names) if rows else None
+
+        yield from by_slices(found)(batches)
 
     named = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    schema = "doc_id long, line int, license string, saved double, n_words int, n_different int, differences string"
+    schema = "doc_id long, line int, license string, rank int, saved double, n_words int, n_different int, differences string"
     return kept(named.mapInArrow(run, schema), "notices")
