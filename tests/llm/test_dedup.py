@@ -8,8 +8,9 @@ from collections import defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
-from textspark.llm import near
+from textspark.llm import debruijn, near
 from textspark.llm.contamination import contaminated, with_matches
 from textspark.llm.debruijn import repeated_paths, without_repeats
 from textspark.llm.near import near_duplicates
@@ -155,6 +156,61 @@ def test_paths_cover_each_repeated_window_once(corpus):
     assert len(seen) == len(set(seen)) and set(seen) == want
 
 
+def _steps(corpus, rows, k=6):
+    places, _ = debruijn.repeated_edges(corpus(*rows), k, 3)
+    runs = debruijn.occurrences(places)
+    return runs, *debruijn.paths(runs)
+
+
+def test_removed_spans_are_occurrences_of_paths(corpus):
+    """A document that ends inside a passage cuts its source, not the path: others hold the path as one span."""
+    one, two, w = ([f"{c}{i}" for i in range(30)] for c in "abw")
+    joined = " ".join([*one, *two])
+    rows = [(1, f"x {' '.join(one)} y"), (2, f"z {joined} q"), (3, f"r {joined} s"), (4, f"u {joined}"), (5, " ".join(["t", *one, *two[:9]]))]
+    rows += [(6, " ".join(w)), (7, f"v {' '.join(w[:20])} v"), (8, f"g {' '.join(w)} h")]
+    runs, pieces, arcs = _steps(corpus, rows)
+    held = lambda placed: debruijn.path_occurrences(runs.filter("doc_id > owner"), debruijn.numbered(placed)).collect()
+    got = held(debruijn.compacted(pieces, arcs))
+    spans = sorted((r.doc_id, r.start, r.n) for r in got)
+    # Windows of 6: documents 3 and 4 leave document 1's passage for that of document 2, where 1 ends: a branch for no one.
+    assert [s for s in spans if s[0] in (7, 8)] == [(7, 1, 15), (8, 1, 25)]
+    assert len({r.path for r in got if r.doc_id in (7, 8)}) == 1 and {r.at for r in got if r.doc_id in (7, 8)} == {0}
+    assert [s for s in spans if s[0] in (3, 4, 5)] == [(3, 1, 55), (4, 1, 55), (5, 1, 34)]
+    # Without compaction every piece is a path of its own, and the spans fall apart.
+    alone = held(pieces.withColumn("path", F.col("piece")).withColumn("at", F.lit(0).cast("long")))
+    assert sum(r.doc_id == 8 for r in alone) == 2 and sum(r.n for r in alone) == sum(r.n for r in got)
+
+
+def test_removal_follows_the_paths(corpus, monkeypatch):
+    """The rows come from the paths: without their places nothing but copies is removed."""
+    rows = passages(5)
+    honest = debruijn.compacted
+    cut = {r.doc_id: r.n_removed for r in without_repeats(corpus(*rows), k=6, gram=3).collect()}
+    monkeypatch.setattr(debruijn, "compacted", lambda pieces, arcs: honest(pieces, arcs).limit(0))
+    bare = {r.doc_id: r.n_removed for r in without_repeats(corpus(*rows), k=6, gram=3).collect()}
+    assert sum(bare.values()) < sum(cut.values())
+
+
+def test_occurrences_hold_the_words_of_their_path(corpus):
+    """Equal edges of a path have equal words in every document, however runs and sources cut it."""
+    rows = passages(9, 40)
+    k = 6
+    texts = {i: words(t, False) for i, t in rows}
+    runs, pieces, arcs = _steps(corpus, rows, k)
+    placed = debruijn.numbered(debruijn.compacted(pieces, arcs))
+    edge = {}
+    for p in debruijn.stretches(placed).collect():
+        for j in range(p["from"], p["to"]):
+            assert edge.setdefault((p.path, p.at + j - p["from"]), tuple(texts[p.owner][j : j + k])) == tuple(texts[p.owner][j : j + k])
+    covered = set()
+    for r in debruijn.path_occurrences(runs, placed).collect():
+        for j in range(r.n):
+            assert edge[r.path, r.at + j] == tuple(texts[r.doc_id][r.start + j : r.start + j + k])
+            covered.add((r.doc_id, r.start + j))
+    want = {(r.doc_id, r.start + j) for r in runs.collect() for j in range(r.n)}
+    assert covered == want
+
+
 def test_passages_match_brute_force(corpus, edge_rows):
     rows = passages(6) + list(edge_rows)
     got = sorted(((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in without_passages(corpus(*rows), span=9, gram=3).collect()), key=str)

@@ -4,7 +4,11 @@ An edge is a window of `K` = 13 words that occurs under several doc_ids, known b
 (doc_id, text, place) it occurs at. Edges that follow each other at their source are linked; a document that goes on
 elsewhere shows itself as a link that leaves or enters between source neighbours, and those are the branches. Paths are
 the runs between branches; an unbranched link between two runs of different sources joins them, by joins that double
-their reach. Every occurrence is a run of places in one document along one path, held against the path's source.
+their reach. A path is kept as the stretches of source places it goes through, in order.
+
+What is removed are occurrences of paths: a document's run along a source is expanded over the stretches that it goes
+through, by their number at the source, held against their coordinates there, and put together again along each path.
+A document that leaves a path at its own end, which is no branch, holds a part of it.
 
 Only edges found through shared minimisers become rows, a path's occurrence is one row, and nothing is collected.
 
@@ -105,16 +109,17 @@ def paths(runs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def compacted(pieces: DataFrame, arcs: DataFrame) -> DataFrame:
-    """`pieces` with `path`, the first piece of the unbranched path each lies on, by joins that double their reach."""
-    heads = kept(
-        pieces.select("piece").distinct().join(arcs.select(F.col("two").alias("piece"), F.col("one").alias("up")), "piece", "left").select(
-            "piece", F.coalesce("up", "piece").alias("up")
-        ),
-        "heads",
-    )
+    """`pieces` with `path`, the first piece of the unbranched path each lies on, and `at`, the edges before it on the path.
+
+    By joins that double their reach.
+    """
+    before = arcs.join(pieces.select(F.col("piece").alias("one"), (F.col("to") - F.col("from")).alias("size")), "one")
+    heads = pieces.select("piece").join(before.select(F.col("two").alias("piece"), F.col("one").alias("up"), "size"), "piece", "left")
+    heads = kept(heads.select("piece", F.coalesce("up", "piece").alias("up"), F.coalesce("size", F.lit(0)).cast("long").alias("at")), "heads")
     for _ in range(max(1, math.ceil(math.log2(heads.count() + 1)))):
-        above = heads.select(F.col("piece").alias("up"), F.col("up").alias("_next"))
-        step = kept(heads.join(above, "up").select("piece", F.col("_next").alias("up"), (F.col("_next") != F.col("up")).alias("_moved")), "heads")
+        above = heads.select(F.col("piece").alias("up"), F.col("up").alias("_next"), F.col("at").alias("_more"))
+        step = heads.join(above, "up").select("piece", F.col("_next").alias("up"), (F.col("at") + F.col("_more")).alias("at"), (F.col("_next") != F.col("up")).alias("_moved"))
+        step = kept(step, "heads")
         moved = not step.filter("_moved").isEmpty()
         dropped(heads)
         heads = step.drop("_moved")
@@ -122,14 +127,59 @@ def compacted(pieces: DataFrame, arcs: DataFrame) -> DataFrame:
             break
     # A ring has no first piece; its pieces stay single.
     roots = heads.filter("piece = up").select(F.col("piece").alias("up"), F.lit(True).alias("_root"))
-    placed = heads.join(roots, "up", "left").select("piece", F.when(F.col("_root"), F.col("up")).otherwise(F.col("piece")).alias("path"))
+    path, at = F.when(F.col("_root"), F.col("up")).otherwise(F.col("piece")), F.when(F.col("_root"), F.col("at")).otherwise(F.lit(0))
+    placed = heads.join(roots, "up", "left").select("piece", path.alias("path"), at.cast("long").alias("at"))
     return pieces.join(placed, "piece")
 
 
+def numbered(placed: DataFrame) -> DataFrame:
+    """`placed` with `stretch`: pieces of one source that follow each other on one path have the same number at the source.
+
+    A window over one source text.
+    """
+    order = Window.partitionBy("owner", "owner_fp").orderBy("from")
+    ends = F.lag(F.struct("path", "to", (F.col("at") + F.col("to") - F.col("from")).alias("at"))).over(order)
+    same = (ends.path == F.col("path")) & (ends.to == F.col("from")) & (ends.at == F.col("at"))
+    new = placed.withColumn("_new", (~F.coalesce(same, F.lit(False))).cast("int"))
+    return new.withColumn("stretch", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0))).drop("_new")
+
+
+def stretches(pieces: DataFrame) -> DataFrame:
+    """(owner, owner_fp, stretch, from, to, path, at): the source places each path goes through, one row a stretch."""
+    ends = [F.min("from").alias("from"), F.max("to").alias("to"), F.min("path").alias("path"), F.min("at").alias("at")]
+    return pieces.groupBy("owner", "owner_fp", "stretch").agg(*ends)
+
+
+def path_occurrences(runs: DataFrame, pieces: DataFrame) -> DataFrame:
+    """(doc_id, fp, path, at, start, n): the edges of each path that a document of `runs` holds without a gap.
+
+    Windows start..start+n-1 of the document are the edges at..at+n-1 of the path. `pieces` are numbered.
+    """
+    source = ["owner", "owner_fp"]
+    # A run lies on whole pieces of its source: the pieces it begins and ends with give the first and last stretch.
+    first = pieces.select(*source, F.col("from").alias("owner_start"), F.col("stretch").alias("_first"))
+    last = pieces.select(*source, F.col("to").alias("_end"), F.col("stretch").alias("_last"))
+    through = runs.withColumn("_end", F.col("owner_start") + F.col("n")).join(first, [*source, "owner_start"]).join(last, [*source, "_end"])
+    crossed = through.withColumn("stretch", F.explode(F.sequence("_first", "_last"))).drop("n", "_first", "_last")
+    low, high = F.greatest("from", "owner_start"), F.least("to", "_end")
+    # Held against the source: only places that both the run and the stretch have.
+    found = crossed.join(stretches(pieces), [*source, "stretch"]).filter(low < high)
+    parts = found.select(
+        "doc_id", "fp", "path", (F.col("start") + low - F.col("owner_start")).alias("start"), (F.col("at") + low - F.col("from")).alias("at"), (high - low).alias("n")
+    )
+    order = Window.partitionBy("doc_id", "fp").orderBy("start")
+    ends = F.lag(F.struct("path", (F.col("start") + F.col("n")).alias("start"), (F.col("at") + F.col("n")).alias("at"))).over(order)
+    same = (ends.path == F.col("path")) & (ends.start == F.col("start")) & (ends.at == F.col("at"))
+    new = parts.withColumn("_new", (~F.coalesce(same, F.lit(False))).cast("int"))
+    joined = new.withColumn("_run", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    return joined.groupBy("doc_id", "fp", "_run", "path").agg(F.min("at").alias("at"), F.min("start").alias("start"), F.sum("n").alias("n")).drop("_run")
+
+
 def repeated_paths(docs: DataFrame, k: int = K, gram: int = GRAM) -> DataFrame:
-    """(owner, owner_fp, from, to, path): compacted paths by their source; windows from..to-1 of that text are edges."""
+    """(owner, owner_fp, stretch, from, to, path, at): compacted paths by their source; windows from..to-1 of that text are
+    the edges of `path` from its edge `at` on."""
     places, _ = repeated_edges(docs, k, gram)
-    return compacted(*paths(kept(occurrences(places), "runs")))
+    return stretches(numbered(compacted(*paths(kept(occurrences(places), "runs")))))
 
 
 def without_repeats(docs: DataFrame, k: int = K, gram: int = GRAM) -> DataFrame:
@@ -140,7 +190,9 @@ def without_repeats(docs: DataFrame, k: int = K, gram: int = GRAM) -> DataFrame:
     places, copied = repeated_edges(docs, k, gram)
     runs = kept(occurrences(places), "runs")
     dropped(places)
-    placed = compacted(*paths(runs)).select("owner", "owner_fp", F.col("from").alias("owner_start"), "to", "path")
-    # An occurrence lies on whole pieces of its source, so it is found by the piece it begins with.
-    held = runs.filter(F.col("doc_id") > F.col("owner")).join(placed.drop("to", "path"), ["owner", "owner_fp", "owner_start"])
-    return kept(without_spans(docs, held.select("doc_id", "fp", "start", "n"), copied, k), "without-repeats")
+    pieces, arcs = paths(runs)
+    placed = kept(numbered(compacted(pieces, arcs)), "placed")
+    held = path_occurrences(runs.filter(F.col("doc_id") > F.col("owner")), placed)
+    out = kept(without_spans(docs, held.select("doc_id", "fp", "start", "n"), copied, k), "without-repeats")
+    dropped(runs, pieces, arcs, placed)
+    return out
