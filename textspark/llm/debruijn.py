@@ -163,7 +163,8 @@ def path_occurrences(runs: DataFrame, pieces: DataFrame) -> DataFrame:
     crossed = through.withColumn("stretch", F.explode(F.sequence("_first", "_last"))).drop("n", "_first", "_last")
     low, high = F.greatest("from", "owner_start"), F.least("to", "_end")
     # Held against the source: only places that both the run and the stretch have.
-    found = crossed.join(stretches(pieces), [*source, "stretch"]).filter(low < high)
+    # Written first, so that the join is one that splits the runs along a hot source.
+    found = crossed.join(kept(stretches(pieces), "stretches"), [*source, "stretch"]).filter(low < high)
     parts = found.select(
         "doc_id", "fp", "path", (F.col("start") + low - F.col("owner_start")).alias("start"), (F.col("at") + low - F.col("from")).alias("at"), (high - low).alias("n")
     )
