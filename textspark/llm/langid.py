@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textspark.llm.storage import kept, remainder, slices
+from textspark.llm.storage import free_name, kept, remainder, slices
 from textspark.llm.words import first_of_runs
 from textspark.plans.ranking import top_k_per_group
 
@@ -118,12 +118,13 @@ def predict(docs: DataFrame, profiles: dict[str, list[int]], text: str = "text")
     shared = docs.sparkSession.sparkContext.broadcast((names, union, ranks, present))
     rest = docs.drop("lang_pred", "score")
     columns = [*rest.columns, "lang_pred", "score"]
+    read = free_name(columns, "text_read")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, union, ranks, present = shared.value
         for batch in batches:
-            for piece in slices(batch, "_text_read"):
-                at = piece.schema.get_field_index("_text_read")
+            for piece in slices(batch, read):
+                at = piece.schema.get_field_index(read)
                 codes, ends = ngrams([t or "" for t in piece.column(at).to_pylist()])
                 found, scores, start = [], np.zeros(len(ends)), 0
                 for i, end in enumerate(ends.tolist()):
@@ -141,7 +142,7 @@ def predict(docs: DataFrame, profiles: dict[str, list[int]], text: str = "text")
                 kept_columns = [c for k, c in enumerate(piece.columns) if k != at]
                 yield pa.record_batch([*kept_columns, pa.array(found, pa.string()), pa.array(scores)], columns)
 
-    named = rest.withColumn("_text_read", F.col(text).cast("string"))
+    named = rest.withColumn(read, F.col(text).cast("string"))
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rest.schema.fields), "lang_pred string, score double"])
     return named.mapInArrow(run, schema)
 

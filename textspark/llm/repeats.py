@@ -17,9 +17,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from textspark.llm.storage import by_slices, kept, lists
+from textspark.llm.storage import by_slices, free_name, kept, lists
 from textspark.llm.words import Words, first_of_runs, run_hashes, span_hashes, split_words
 
+#: Columns that the span operators add.
+ADDED = ("n_words", "n_removed", "kept_sha256")
 _BASES = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 
 
@@ -87,16 +89,16 @@ def shared_minima(outline: DataFrame, copied: DataFrame) -> DataFrame:
     return kept(found, "shared-minima")
 
 
-def with_fingerprint(docs: DataFrame) -> DataFrame:
-    """`docs` with the fingerprint column `_fp` of each row's words, in one pass and without a shuffle."""
+def with_fingerprint(docs: DataFrame, fp: str = "_fp", read: str = "_text_read") -> DataFrame:
+    """`docs` with the fingerprint of each row's words in column `fp` and the text as string in `read`, without a shuffle."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts = batch.column(batch.schema.get_field_index("_text_read"))
-        fp, _ = fingerprints(split_words(texts, fold=False))
-        return batch.set_column(batch.schema.get_field_index("_fp"), "_fp", pa.array(fp))
+        texts = batch.column(batch.schema.get_field_index(read))
+        prints, _ = fingerprints(split_words(texts, fold=False))
+        return batch.set_column(batch.schema.get_field_index(fp), fp, pa.array(prints))
 
-    named = docs.withColumn("_text_read", F.col("text").cast("string")).withColumn("_fp", F.lit(0).cast("long"))
-    return named.mapInArrow(by_slices(run, "_text_read"), named.schema)
+    named = docs.withColumn(read, F.col("text").cast("string")).withColumn(fp, F.lit(0).cast("long"))
+    return named.mapInArrow(by_slices(run, read), named.schema)
 
 
 def owned(windows: DataFrame, places: bool = True) -> DataFrame:
@@ -153,18 +155,21 @@ def without_spans(docs: DataFrame, spans: DataFrame, copied: DataFrame, length:
     """`docs` with text rewritten and n_words, n_removed, kept_sha256 added, less the words of `spans` (doc_id, fp, start, n).
 
     A span of n windows covers n + length - 1 words. Of a copy nothing stays. Words left in a text keep the white space
-    before them; kept_sha256 is over the words left, joined by single spaces.
+    before them; kept_sha256 is over the words left, joined by single spaces. Columns of `docs` with the added names are
+    replaced, all others stay.
     """
     places = F.struct(F.col("start").cast("int").alias("start"), (F.col("start") + F.col("n") + length - 1).cast("int").alias("end"))
-    cut = spans.groupBy("doc_id", "fp").agg(F.collect_list(places).alias("_spans"))
-    whole = copied.select("doc_id", "fp", F.array(F.struct(F.lit(0).alias("start"), F.lit(2**31 - 1).alias("end"))).alias("_spans"))
-    cut = cut.unionByName(whole).withColumnRenamed("fp", "_fp").withColumnRenamed("doc_id", "_id")
-    base = [c for c in docs.columns if c not in ("n_words", "n_removed", "kept_sha256")]
-    named = with_fingerprint(docs.select(*base))
+    base = [c for c in docs.columns if c.lower() not in ADDED]
+    fp, read, found, ident = (free_name(base, name) for name in ("fp", "text_read", "spans", "id"))
+    cut = spans.groupBy("doc_id", "fp").agg(F.collect_list(places).alias(found))
+    whole = copied.select("doc_id", "fp", F.array(F.struct(F.lit(0).alias("start"), F.lit(2**31 - 1).alias("end"))).alias(found))
+    cut = cut.unionByName(whole).select(F.col("doc_id").alias(ident), F.col("fp").alias(f"{fp}_cut"), found)
+    named = with_fingerprint(docs.select(*(f"`{c}`" for c in base)), fp, read)
     # Text is shuffled whatever the size: a broadcast of the spans would grow with the corpus.
-    joined = named.join(cut.hint("merge"), (F.col("doc_id").cast("long") == F.col("_id")) & (named["_fp"] == cut["_fp"]), "left").select(*base, "_text_read", "_spans")
+    same = (named["doc_id"].cast("long") == cut[ident]) & (named[fp] == cut[f"{fp}_cut"])
+    joined = named.join(cut.hint("merge"), same, "left").select(*(named[f"`{c}`"] for c in base), read, found)
     text_at = base.index("text")
-    kinds = ", ".join(f"`{f.name}` {'string' if f.name == 'text' else f.dataType.simpleString()}" for f in joined.select(*base).schema.fields)
+    kinds = ", ".join(f"`{f.name}` {'string' if f.name == 'text' else f.dataType.simpleString()}" for f in joined.schema.fields[: len(base)])
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = batch.column(len(base))
@@ -193,4 +198,4 @@ def without_spans(docs: DataFrame, spans: DataFrame, copied: DataFrame, length:
         columns += [pa.array(counts), pa.array(removed), pa.array(digests, pa.string())]
         return pa.record_batch(columns, [*base, "n_words", "n_removed", "kept_sha256"])
 
-    return joined.mapInArrow(by_slices(run, "_text_read"), f"{kinds}, n_words long, n_removed long, kept_sha256 string")
+    return joined.mapInArrow(by_slices(run, read), f"{kinds}, n_words long, n_removed long, kept_sha256 string")
