@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textspark.llm import contamination, encoding, near, quality, storage, suffixes
+from textspark.llm import contamination, encoding, near, quality, repeats, storage, suffixes
 from textspark.llm.queries import query
 from textspark.sources.tables import read_table
 
@@ -26,7 +26,8 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     labels = read_table(spark, sf_dir, "labels")
     learned = docs.filter(~quality.held_out())
     model = quality.fit(quality.features(learned), labels)
-    return quality.with_quality(docs, model, "_quality").filter(F.col("_quality") >= 0.5).select(*docs.columns)
+    score = storage.free_name(docs.columns, "quality")
+    return quality.with_quality(docs, model, score).filter(F.col(score) >= 0.5).select(*docs.columns)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,17 +44,20 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts passages of 50 words and more that a smaller doc_id holds too out of the texts; no row goes."""
-    cut = suffixes.without_passages(docs.select(*docs.columns))
+    # Columns named like those that the operator adds wait under other names.
+    names = {c: storage.free_name(docs.columns, c) for c in docs.columns if c.lower() in repeats.ADDED}
+    cut = suffixes.without_passages(docs.withColumnsRenamed(names))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         cut = cut.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.char_length("text").cast(kind)).otherwise(F.col("n_chars")))
-    return cut.select(*docs.columns)
+    return cut.select(*(F.col(f"`{names.get(c, c)}`").alias(c) for c in docs.columns))
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that hold at least half of the shingles of a benchmark item."""
-    marked = contamination.with_matches(docs, read_table(spark, sf_dir, "benchmark"))
-    return marked.filter(F.size("_matches") == 0).select(*docs.columns)
+    name = storage.free_name(docs.columns, "matches")
+    marked = contamination.with_matches(docs, read_table(spark, sf_dir, "benchmark"), name)
+    return marked.filter(F.size(name) == 0).select(*docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
