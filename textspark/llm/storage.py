@@ -55,9 +55,9 @@ def kept(df: DataFrame, name: str, batch_rows: int = BATCH_ROWS, row_group: int
     return out
 
 
-def kept_once(df: DataFrame, name: str) -> DataFrame:
+def kept_once(df: DataFrame, name: str, row_group: int = 0) -> DataFrame:
     """`df` itself if it comes straight from `kept`, else kept."""
-    return df if getattr(df, "kept_at", None) else kept(df, name)
+    return df if getattr(df, "kept_at", None) else kept(df, name, row_group=row_group)
 
 
 class Shared:
