@@ -17,8 +17,8 @@ from textspark.llm.queries import query
 from textspark.sources.tables import read_table
 
 
-#: Bytes a writer of token ids gathers; an executor has one writer a core.
-TOKEN_ROW_GROUP = 16 << 20
+#: Bytes a writer of texts or token ids gathers; an executor has one writer a core.
+ROW_GROUP = 16 << 20
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,7 +62,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Adds token_ids, n_tokens, token_sha256, parity and round_trip. Written here, in batches of bounded size."""
-    return storage.kept(encoding.encoded(docs), "tokens", row_group=TOKEN_ROW_GROUP)
+    return storage.kept(encoding.encoded(docs), "tokens", row_group=ROW_GROUP)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
@@ -81,5 +81,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = storage.kept_once(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        docs = storage.kept_once(stage(spark, docs, sf_dir), name.replace(" ", "-"), ROW_GROUP)
     return docs
