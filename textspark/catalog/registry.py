@@ -11,7 +11,7 @@ from textspark.plans.union import UNION_PARTITIONING
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
-_MODULES = ("columns", "cleaning", "tokenizing", "phrasing", "sparse", "dense", "statistics", "ingest", "models")
+_MODULES = ("columns", "cleaning", "tokenizing", "phrasing", "sparse", "dense", "statistics", "ingest", "models", "wordvectors")
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
