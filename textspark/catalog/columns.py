@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from textspark.catalog.fixtures import DOCS_SQL, W, WS, documents, pages, r6, s6, table, word_vectors, VECTORS_SQL
 from textspark.catalog.registry import query
 from textspark.functions import labels
-from textspark.operators.hierarchy import tree_paths
+from textspark.operators.hierarchy import deep_tree_paths, tree_depths, tree_paths
 from textspark.operators.sampling import head
 from textspark.plans import shared_dir
 from textspark.plans.union import union_rows
@@ -257,27 +257,57 @@ def distinct_labels(spark, sf):
     return table(spark, sf, "documents").select("lang", "source").distinct()
 
 
-@query(
-    "tree_paths",
-    """WITH RECURSIVE nodes AS (
+TREE_SQL = """WITH RECURSIVE nodes AS (
       SELECT 'r' || r_regionkey AS node_id, NULL AS parent_id, r_name AS name FROM region
       UNION ALL SELECT 'n' || n_nationkey, 'r' || n_regionkey, n_name FROM nation
       UNION ALL SELECT 'c' || c_custkey, 'n' || c_nationkey, c_name FROM customer),
     ok AS (SELECT * FROM nodes WHERE NOT (name = 'ASIA' OR regexp_matches(name, '^(?:.*Y$)'))),
     tree AS (SELECT node_id, name AS path, 1 AS depth FROM ok WHERE parent_id IS NULL
       UNION ALL SELECT o.node_id, t.path || ' > ' || o.name, t.depth + 1 FROM ok o JOIN tree t ON o.parent_id = t.node_id)
-    SELECT node_id, path, depth::BIGINT AS depth FROM tree""",
-)
-def tree_paths_query(spark, sf):
+    SELECT node_id, path, depth::BIGINT AS depth FROM tree"""
+
+
+def _places(spark, sf):
+    """Regions, nations and customers as one tree."""
     def rows(name, prefix, key, parent_prefix, parent, label):
         up = F.concat(F.lit(parent_prefix), F.col(parent)) if parent else F.lit(None).cast("string")
         return table(spark, sf, name).select(
             F.concat(F.lit(prefix), F.col(key)).alias("node_id"), up.alias("parent_id"), F.col(label).alias("name")
         )
 
-    nodes = union_rows(
+    return union_rows(
         rows("region", "r", "r_regionkey", "", None, "r_name"),
         rows("nation", "n", "n_nationkey", "r", "n_regionkey", "n_name"),
         rows("customer", "c", "c_custkey", "n", "c_nationkey", "c_name"),
     )
-    return tree_paths(nodes, labels.allowed_name(F.col("name"), ["ASIA"], [".*Y$"]))
+
+
+@query("tree_paths", TREE_SQL)
+def tree_paths_query(spark, sf):
+    return tree_paths(_places(spark, sf), labels.allowed_name(F.col("name"), ["ASIA"], [".*Y$"]))
+
+
+@query("deep_tree_paths", TREE_SQL)
+def deep_tree_paths_query(spark, sf):
+    return deep_tree_paths(_places(spark, sf), labels.allowed_name(F.col("name"), ["ASIA"], [".*Y$"]))
+
+
+@query(
+    "tree_depths",
+    """WITH RECURSIVE nodes AS (
+      SELECT DISTINCT conv_id || ':' || turn AS node_id, CASE WHEN turn > 0 THEN conv_id || ':' || (turn - 1) END AS parent_id FROM conversations
+      UNION ALL SELECT 'd' || doc_id, CASE WHEN doc_id % 500 > 0 THEN 'd' || (doc_id - 1) END FROM (SELECT DISTINCT doc_id FROM documents)),
+    tree AS (SELECT node_id, node_id AS root_id, 1 AS depth FROM nodes WHERE parent_id IS NULL
+      UNION ALL SELECT n.node_id, t.root_id, t.depth + 1 FROM nodes n JOIN tree t ON n.parent_id = t.node_id)
+    SELECT node_id, root_id, depth::BIGINT AS depth FROM tree""",
+)
+def tree_depths_query(spark, sf):
+    """Turns answer the turn before, and documents continue the one before in threads of up to 500."""
+    turn, doc = F.col("turn"), F.col("doc_id")
+    turns = table(spark, sf, "conversations").select(
+        F.concat("conv_id", F.lit(":"), turn).alias("node_id"), F.when(turn > 0, F.concat("conv_id", F.lit(":"), turn - 1)).alias("parent_id")
+    )
+    threads = table(spark, sf, "documents").select(
+        F.concat(F.lit("d"), doc).alias("node_id"), F.when(doc % 500 > 0, F.concat(F.lit("d"), doc - 1)).alias("parent_id")
+    )
+    return tree_depths(union_rows(turns.distinct(), threads.distinct()))
