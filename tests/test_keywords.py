@@ -62,3 +62,19 @@ def test_repeated_empty_and_null_entries(spark, texts):
     assert got == "1  c"
     assert keywords.replace_from_table(texts("a"), "text", table(spark, [])).first().text == "a"
     assert keywords.remove_from_table(texts("the cat", None), "text", table(spark, [("The", None)])).orderBy("id").first().text == "  cat"
+
+
+def test_large_dictionaries_are_joined_in_a_fixed_number_of_passes(spark, texts, monkeypatch):
+    """Texts are written once, not once for every portion of the dictionary; chunks may cut anywhere."""
+    written = []
+    keep = keywords.durable
+    monkeypatch.setattr(keywords, "durable", lambda df: written.append(df.columns) or keep(df))
+    monkeypatch.setattr(keywords, "PORTION_BYTES", 60)
+    monkeypatch.setattr(keywords, "CHUNK_BYTES", 30)
+    df = texts(*(f"word{i} and word{i + 1}, the word{i}x" for i in range(40)), None, "")
+    for pairs in ({f"word{i}": f"<{i}>" for i in range(30)}, {f"word{i}{' and' * (i % 2)}": f"<{i}>" for i in range(30)}):
+        written.clear()
+        got = keywords.replace_from_table(df, "text", table(spark, pairs.items()))
+        want = df.withColumn("text", clean.replace_keywords(F.col("text"), pairs))
+        assert {r.id: r.text for r in got.collect()} == {r.id: r.text for r in want.collect()}
+        assert len(written) <= 2
