@@ -168,6 +168,19 @@ def test_phrases_apply_like_a_greedy_scan(spark):
     assert shown == [_greedy(s, accepted) for s in sents]
 
 
+def test_sentences_do_not_move_to_meet_phrases(spark, monkeypatch):
+    """Looked up in the row, without a shuffle; a larger table is joined, with the same rows."""
+    sents = [["a", "b"] * 60, ["a", "of", "b", "a", "b"], [], ["b", "a"], None]
+    table = spark.createDataFrame([(phrases.JOINT.join(p), p[0], p[-1], 9) for p in (("a", "b"), ("b", "a"))], "span string, a string, b string, n bigint")
+    df = spark.createDataFrame([(i, 0, s) for i, s in enumerate(sents)], "id bigint, sent int, tokens array<string>")
+    inside = phrases.apply_phrases(df, "id", table, COMMON)
+    plan = inside._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    monkeypatch.setattr(phrases, "MAX_KNOWN", 1)
+    joined = phrases.apply_phrases(df, "id", table, COMMON)
+    assert sorted(map(tuple, inside.collect()), key=lambda r: r[0]) == sorted(map(tuple, joined.collect()), key=lambda r: r[0])
+
+
 def test_phrase_scores(spark):
     sents = ["new york is big", "new york of york", "bank of norway", "bank of norway new york"]
     df = spark.createDataFrame([(i, 0, s.split()) for i, s in enumerate(sents)], "id bigint, sent int, tokens array<string>")
