@@ -405,3 +405,15 @@ def test_gradient_descent_matches_plain_loop(spark):
         w = [a - 0.5 * g for a, g in zip(w, grad)]
     assert seen == [0, 1, 2, 3] and all(abs(a - b) < 1e-12 for a, b in zip(got, w))
     assert gradient.boundary([1.0, -1.0, 0.0]) == (1.0, 0.0)
+
+
+def test_python_results_are_made_slice_by_slice():
+    """An Arrow batch of long texts is not answered at once."""
+    import pandas as pd
+
+    from textspark.functions import udf
+
+    values = pd.Series([None if i % 7 == 0 else f"t{i}" for i in range(udf.SLICE_ROWS * 2 + 5)])
+    out = list(udf.sliced(lambda t: [t])(iter([values, values.iloc[:0]])))
+    assert [len(o) for o in out] == [udf.SLICE_ROWS, udf.SLICE_ROWS, 5, 0]
+    assert [None if v is None else v[0] for o in out for v in o] == list(values)
