@@ -82,3 +82,17 @@ def test_nothing_is_broadcast_or_crossed(spark):
     finally:
         neighbours.durable = kept
     assert plans and not any("Cartesian" in p or "NestedLoop" in p or "BroadcastExchange" in p for p in plans[-1:])
+
+
+def test_large_query_blocks_are_compared_in_steps(spark, monkeypatch):
+    """Words pass a block of queries once, however few queries a product takes."""
+    rng = np.random.default_rng(4)
+    rows = [(f"w{i:02}", [float(x) for x in rng.normal(size=3)]) for i in range(23)]
+    df = spark.createDataFrame(rows, "word string, embedding array<double>")
+    queries = df.select(F.col("word").alias("qid"), F.col("embedding").alias("vec"))
+    ordered = lambda: sorted((r.qid, r["rank"], r.word) for r in neighbours.nearest(df, queries, 4).collect())
+    whole = ordered()
+    monkeypatch.setattr(neighbours, "STEP_ROWS", 4)
+    monkeypatch.setattr(neighbours, "QUERY_ROWS", 10)
+    monkeypatch.setattr(neighbours, "WORD_ROWS", 6)
+    assert ordered() == whole and len(whole) == 23 * 4

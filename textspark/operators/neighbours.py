@@ -1,7 +1,7 @@
 """Nearest vectors for a table of queries of any size, as a blocked matrix product.
 
 Both tables are packed into blocks of rows. A task holds one block of queries and streams blocks of words past it; it
-keeps the k best of every query and nothing else. The words are cut into strips where query blocks alone would not
+keeps the k best of every query and nothing else. Products are made for a few queries at a time. The words are cut into strips where query blocks alone would not
 occupy the cluster, and the best of the strips are merged. No vector reaches the driver and nothing is broadcast.
 """
 
@@ -19,7 +19,8 @@ from textspark.plans.lineage import durable
 from textspark.plans.ranking import row_index, top_k_per_group
 from textspark.plans.union import union_rows
 
-QUERY_ROWS, WORD_ROWS = 1024, 4096
+#: Every block of words passes every block of queries, so queries are in large blocks, compared STEP_ROWS at a time.
+QUERY_ROWS, WORD_ROWS, STEP_ROWS = 16384, 4096, 512
 #: Similarities are compared after rounding to this many places; ties go to the smaller word.
 PLACES = 12
 _SLOT_BITS = 13
@@ -77,13 +78,13 @@ def nearest(embeddings: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     def matrix(values: pa.ListScalar, n: int) -> np.ndarray:
         return values.values.to_numpy(zero_copy_only=False).reshape(n, -1)
 
-    def answers(qids: pa.Array, best: tuple) -> Iterator[pa.RecordBatch]:
-        found, named = best
-        for low in range(0, len(qids), 128):
-            some = found[low : low + 128]
-            at = np.repeat(np.arange(low, low + len(some)), some.shape[1])
-            named_here = pa.array(named[low : low + 128].ravel().tolist(), pa.string())
-            yield pa.record_batch([qids.take(pa.array(at)), named_here, pa.array(some.ravel())], ["qid", "word", "similarity"])
+    def answers(qids: pa.Array, best: list[tuple]) -> Iterator[pa.RecordBatch]:
+        for step, (found, named) in enumerate(best):
+            for low in range(0, len(found), 128):
+                some = found[low : low + 128]
+                at = np.repeat(np.arange(low, low + len(some)) + step * STEP_ROWS, some.shape[1])
+                named_here = pa.array(named[low : low + 128].ravel().tolist(), pa.string())
+                yield pa.record_batch([qids.take(pa.array(at)), named_here, pa.array(some.ravel())], ["qid", "word", "similarity"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, qids, vectors, best = None, None, None, None
@@ -97,10 +98,12 @@ def nearest(embeddings: DataFrame, queries: DataFrame, k: int) -> DataFrame:
                 if batch.column("block")[i].as_py() < 0:
                     qids = batch.column("qids")[i].values
                     vectors = matrix(values, len(qids))
-                    best = np.zeros((len(qids), 0)), np.zeros((len(qids), 0), object)
+                    steps = [vectors[low : low + STEP_ROWS] for low in range(0, len(qids), STEP_ROWS)]
+                    best = [(np.zeros((len(v), 0)), np.zeros((len(v), 0), object)) for v in steps]
                 elif qids is not None:
                     named = np.array(batch.column("words")[i].as_py(), object)
-                    best = _better(best, np.clip(vectors @ matrix(values, len(named)).T, -1.0, 1.0), named, k)
+                    turned = matrix(values, len(named)).T
+                    best = [_better(b, np.clip(v @ turned, -1.0, 1.0), named, k) for b, v in zip(best, steps)]
         if qids is not None:
             yield from answers(qids, best)
 
