@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from textspark.operators import svd
@@ -61,3 +62,23 @@ def test_triangles_of_many_partitions_are_reduced_in_rounds(spark):
     _, turn = svd._turned(r)
     q = np.array([row.vector for row in svd.times(df, "id", turn).collect()])
     assert np.allclose(q.T @ q, np.eye(4))
+
+
+def test_a_block_of_too_many_terms_becomes_blocks_of_whole_rows(monkeypatch):
+    monkeypatch.setattr(svd, "TERMS", 6)
+    monkeypatch.setattr(svd, "ROW_CELLS", 4)
+    cells = [(i, f"t{(i + j) % 9}", float(10 * i + j + 1)) for i in range(8) for j in range(3)]
+    table = pa.table({n: list(c) for n, c in zip(("key", "term", "value"), zip(*cells))})
+    found, terms, home = [], {}, {}
+    for batch in svd._index_rows(iter(range(5, 1000, 10)), table, pa.int64()):
+        for row in batch.to_pylist():
+            if row["kind"] == svd.TERM:
+                terms[row["block"], row["place"]] = row["term"]
+                continue
+            sizes, idx, value = (np.frombuffer(row[c], t) for c, t in (("sizes", np.int32), ("idx", np.int32), ("value", float)))
+            for key, at, x in zip(np.repeat(row["keys"], sizes), idx, value):
+                found.append((key, terms[row["block"], at], x))
+                home.setdefault(key, set()).add(row["block"])
+    assert sorted(found) == sorted(cells) and all(len(h) == 1 for h in home.values())
+    assert len({b for b, _ in terms}) > 1 and {b % 10 for b, _ in terms} == {5}
+    assert max(sum(b == block for b, _ in terms) for block, _ in terms) <= 6

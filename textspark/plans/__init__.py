@@ -1,6 +1,6 @@
 """Plan-level building blocks: lineage cuts, skew handling, distributed ranking."""
 
-from textspark.plans.lineage import durable, ensure_checkpoint_dir, shared_dir
+from textspark.plans.lineage import durable, ensure_checkpoint_dir, shared_dir, stored
 from textspark.plans.ranking import row_index, top_k_per_group
 from textspark.plans.skew import fits_broadcast, heavy_keys, lookup_join, split_join
 from textspark.plans.union import union_rows
@@ -14,6 +14,7 @@ __all__ = [
     "row_index",
     "shared_dir",
     "split_join",
+    "stored",
     "top_k_per_group",
     "union_rows",
 ]
