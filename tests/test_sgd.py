@@ -85,3 +85,12 @@ def test_weights_too_many_to_broadcast_give_the_same(words, monkeypatch):
 def test_unknown_loss(words):
     with pytest.raises(ValueError):
         sgd.fit(words[2], words[3], "id", loss="squared")
+
+
+def test_shares_of_words_are_made_inside_the_row(spark):
+    from textspark.catalog.models import _shares
+
+    docs = spark.createDataFrame([(1, "aa bb aa cc"), (2, ""), (3, None), (4, "dd")], "doc_id long, text string")
+    shares = _shares(docs)
+    assert {(r.doc_id, r.term): r.value for r in shares.collect()} == {(1, "aa"): 0.5, (1, "bb"): 0.25, (1, "cc"): 0.25, (4, "dd"): 1.0}
+    assert "Exchange" not in shares._jdf.queryExecution().toString()
