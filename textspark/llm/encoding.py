@@ -3,11 +3,12 @@
 The model file (a protobuf) is parsed on the driver and rebuilt: its normaliser, the metaspace marker, unigram scores or
 BPE merges ranked by piece score, and byte fallback. Tasks encode with the rebuilt tokenizer, several threads a batch.
 
-Every whole text is encoded, and its ids are decoded and compared with the text. Parity: where the text is not
-normalised and no piece holds a marker after another character, no token can cross the start of a marked word, so a
-text's ids are those of its words one after another in both libraries; then each distinct word of a task is compared
-with `sentencepiece` once, which covers every text of the task. Otherwise whole texts are compared. Words compared are
-remembered up to a bound, which changes speed only. A text longer than a slice is handled alone.
+Every whole text is encoded, and its ids are decoded and compared with the text. Where the text is not normalised and
+no piece holds a marker after another character, no token can cross the start of a marked word, so a text's ids are
+those of its words one after another in both libraries. Then each distinct word of a task is encoded by both and
+compared once, and a text takes the ids of its words, which covers every text of the task. Otherwise whole texts are
+encoded and compared. Words are remembered up to a bound, which changes speed only. A text longer than a slice is
+handled alone.
 
 Defined results: null and empty texts have no ids; `parity` says that all ids equal those of `sentencepiece`;
 `round_trip` that decoding gives the text again (false for a text that itself holds the marker character).
@@ -35,9 +36,11 @@ from textspark.llm.storage import free_name, kept, lists, slices
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARKER = "▁"
 REMEMBERED = 200_000
+#: Ids of remembered words, which bounds long ones.
+REMEMBERED_IDS = 8 * REMEMBERED
 #: Bytes of text encoded at once; each token is a Python int for a moment.
 TEXT_BYTES = 1 << 18
-_NORMAL, _UNKNOWN, _BYTE = 1, 2, 6
+_NORMAL, _UNKNOWN, _USER, _BYTE = 1, 2, 4, 6
 _UNIGRAM, _BPE = 1, 2
 
 
@@ -91,12 +94,14 @@ def rebuilt(model) -> Tokenizer:
 
 
 def word_by_word(model) -> bool:
-    """Whether ids of a text are those of its marked words: no piece has a marker after another character."""
+    """Whether ids of a text are those of its marked words: no piece has a marker after another character.
+
+    The marker is a piece of its own, so a run of unknown characters ends where a word does.
+    """
     spec = model.normalizer_spec
     plain = spec.escape_whitespaces and spec.add_dummy_prefix and not spec.remove_extra_whitespaces and not spec.precompiled_charsmap
-    return bool(plain) and not any(
-        MARKER in p.piece.lstrip(MARKER) for p in model.pieces if p.type == _NORMAL
-    )
+    found = [p.piece for p in model.pieces if p.type in (_NORMAL, _USER)]
+    return bool(plain) and MARKER in found and not any(MARKER in piece.lstrip(MARKER) for piece in found)
 
 
 def byte_table(model) -> pa.Array:
@@ -112,40 +117,85 @@ class _Encoder:
         os.environ["RAYON_NUM_THREADS"] = str(threads)  # read when the library encodes its first batch
         self.tokenizer = Tokenizer.from_str(tokenizer)
         resize = getattr(self.tokenizer.model, "_resize_cache", None)
-        if resize:  # whole texts do not come again, so remembering them costs a third more time
+        if resize:  # neither whole texts nor new words come again, so remembering them only costs time
             resize(0)
         self.pieces = sentencepiece.SentencePieceProcessor(model_proto=model)
         self.threads, self.by_word = threads, by_word
         parsed = sentencepiece_model_pb2.ModelProto.FromString(model)
         self.bytes = byte_table(parsed)
         self.prefix = b" " if parsed.normalizer_spec.add_dummy_prefix else b""
-        self.checked: set[str] = set()
-        self.wrong: set[str] = set()
+        self._forget()
+
+    def _forget(self) -> None:
+        """Words by number, and of each: where its ids end among all, and whether the libraries differ on it."""
+        self.words: dict[str, int] = {}
+        self.held, self.until, self.wrong = np.zeros(0, np.int32), np.zeros(1, np.int64), np.zeros(0, bool)
+        if self.by_word:  # a single space at the end is the word "", which neither library marks when it stands alone
+            ours, theirs = ([ids[1][len(ids[0]) :]] for ids in (self._ids(["a", "a "]), self.pieces.encode(["a", "a "])))
+            self._add([""], ours, theirs)
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _parity(self, texts: list[str], ids: list[list[int]]) -> list[bool]:
-        if not self.by_word:
-            return [a == b for a, b in zip(ids, self.pieces.encode(texts, num_threads=self.threads))]
-        if len(self.checked) > REMEMBERED:
-            self.checked = set()
-        split = [t.split(" ") if "  " not in t and t[:1] != " " and t[-1:] != " " else [w[1:] for w in _SPACED.findall(f" {t}")] for t in texts]
-        new = list(set(chain.from_iterable(split)) - self.checked - {""})
-        self.checked.update(new)
-        self.wrong.update(w for w, a, b in zip(new, self._ids(new), self.pieces.encode(new, num_threads=self.threads)) if a != b)
-        return [not self.wrong or self.wrong.isdisjoint(words) for words in split]
+    def _whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[bool]]:
+        ids = self._ids(texts)
+        parity = [a == b for a, b in zip(ids, self.pieces.encode(texts, num_threads=self.threads))]
+        return *_flat(ids), parity
+
+    def _learn(self, words: list[str]) -> None:
+        """Encodes new words by both libraries and remembers them."""
+        self._add(words, self._ids(words), self.pieces.encode(words, num_threads=self.threads))
+
+    def _add(self, words: list[str], ours: list[list[int]], theirs: list[list[int]]) -> None:
+        differ = [a != b for a, b in zip(ours, theirs)]
+        flat, ends = _flat(ours)
+        self.words.update(zip(words, range(len(self.words), len(self.words) + len(words))))
+        self.until = np.concatenate([self.until, ends + len(self.held)])
+        self.held = np.concatenate([self.held, flat])
+        self.wrong = np.concatenate([self.wrong, np.array(differ, bool)])
+
+    def _by_word(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[bool]]:
+        if len(self.words) > REMEMBERED or len(self.held) > REMEMBERED_IDS:
+            self._forget()
+        split = [_words(t) for t in texts]
+        new = set(chain.from_iterable(split)).difference(self.words)
+        if new:
+            self._learn(list(new))
+        sizes = np.array([len(w) for w in split], np.int64)
+        word = np.fromiter(map(self.words.__getitem__, chain.from_iterable(split)), np.int64, int(sizes.sum()))
+        n = np.diff(self.until)[word]
+        ends = np.cumsum(n)
+        flat = self.held[np.arange(int(n.sum())) + np.repeat(self.until[word] - (ends - n), n)]
+        last = np.cumsum(sizes)
+        at = lambda sums: np.concatenate([np.zeros(1, np.int64), sums])[last]
+        bad = np.diff(at(np.cumsum(self.wrong[word])), prepend=0)
+        return flat, at(ends), (bad == 0).tolist()
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[bool], list[bool]]:
-        ids = self._ids(texts)
-        ends = np.cumsum([len(x) for x in ids], dtype=np.int64)
-        flat = np.fromiter(chain.from_iterable(ids), np.int32, int(ends[-1]) if len(ends) else 0)
+        flat, ends, parity = self._by_word(texts) if self.by_word else self._whole(texts)
         joined = pc.take(self.bytes, pa.array(flat))
         places = np.frombuffer(joined.buffers()[1], np.int64)[: len(flat) + 1] if len(flat) else np.zeros(1, np.int64)
         data = memoryview(joined.buffers()[2] or b"")
         cuts = [0, *places[ends].tolist()]
         back = [bytes(data[a:b]) == (self.prefix + t.encode() if t else b"") for a, b, t in zip(cuts, cuts[1:], texts)]
-        return flat, ends, self._parity(texts, ids), back
+        return flat, ends, parity, back
+
+
+def _flat(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """All ids one after another, and where each list ends."""
+    ends = np.cumsum([len(x) for x in ids], dtype=np.int64)
+    return np.fromiter(chain.from_iterable(ids), np.int32, int(ends[-1]) if len(ends) else 0), ends
+
+
+def _words(text: str) -> list[str]:
+    """The words at single spaces; a word keeps the further spaces before it, and a space at the end is a word. An empty text has none."""
+    if not text:
+        return []
+    if MARKER in text:  # to the models a marker in the text is a space
+        text = text.replace(MARKER, " ")
+    if "  " not in text and text[0] != " " and text[-1] != " ":
+        return text.split(" ")
+    return [w[1:] for w in _SPACED.findall(f" {text}")]
 
 
 #: A word with the spaces before it, or the spaces at the end.
