@@ -1,11 +1,14 @@
 """Steps whose cost must not grow faster than the rows."""
 
 import pyarrow as pa
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import IDF
 from pyspark.sql import functions as F
 
 from textspark.catalog import QUERIES, load_all
 from textspark.functions import tokens
 from textspark.operators import learn, phrases
+from textspark.plans.stages import TokenStage
 
 load_all()
 
@@ -51,3 +54,16 @@ def test_common_words_may_be_absent_and_sentences_empty(spark):
 def test_stacked_bags_stay_in_their_rows(spark):
     plan = QUERIES["stacked"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "collect_list" not in plan and "hashpartitioning" not in plan
+
+
+def test_estimators_after_the_counts_see_no_more_partitions_than_cores(spark, monkeypatch):
+    seen = {}
+    for kind in (LogisticRegression, IDF):
+        monkeypatch.setattr(kind, "_fit", lambda self, df, fit=kind._fit: seen.update({type(self): df.rdd.getNumPartitions()}) or fit(self, df))
+    rows = [(i, "abcd " * (1 + i % 3) + "wxyz" * (i % 2), "ab"[i % 2]) for i in range(40)]
+    train = spark.createDataFrame(rows, "doc_id int, text string, label string").repartition(16)
+    chars = TokenStage(inputCol="text", outputCol="tokens", analyzer="char", low=4, high=4)
+    model = learn.text_classifier(train, [], learn.tfidf_stages(chars), learn.logistic_regression(40, 5))
+    cores = spark.sparkContext.defaultParallelism
+    assert seen == {LogisticRegression: cores, IDF: cores} and cores < 16
+    assert learn.predict(model, train).filter("label <> predicted").count() == 0
