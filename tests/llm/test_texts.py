@@ -12,7 +12,7 @@ import sentencepiece
 from sentencepiece import sentencepiece_model_pb2
 
 from textspark.llm import encoding, langid, licenses, mixing, quality
-from textspark.llm.graph_search import nearest
+from textspark.llm.graph_search import meetings, nearest
 from textspark.llm.storage import python_remainder
 from textspark.llm.words import split_words
 
@@ -198,6 +198,14 @@ def test_nearest_against_brute_force(spark):
     assert nearest(frame.limit(0), frame.limit(0)).collect() == []
 
 
+def test_copies_of_query_blocks_are_not_broadcast(spark):
+    packed = spark.range(3).selectExpr("1 AS dim", "id AS block", "array(id) AS asked", "explode(sequence(0L, 4L)) AS shard")
+    graphs = spark.range(5).selectExpr("1 AS dim", "id AS shard", "id AS ids", "id AS vectors", "id AS nodes", "id AS edges", "id AS starts")
+    met = meetings(packed, graphs)
+    assert met.count() == 15
+    assert "Broadcast" not in met._jdf.queryExecution().toString()
+
+
 def test_license_notices(corpus, edge_rows):
     mit = licenses.TEMPLATES["MIT"]
     rows = [

@@ -7,7 +7,8 @@ nearest candidate stays and drops all that lie closer to it, by the factor `RELA
 nothing is left to expand; its distances are then taken on the original vectors in double precision. Equal vectors of a
 shard are one node with all their ids, so they neither fill the edges nor hide each other.
 
-Queries are packed in blocks of about `BLOCK`; each block meets each shard once. Neither side is broadcast or collected.
+Queries are packed in blocks of about `BLOCK`; each block meets each shard once. Neither side is broadcast or collected:
+the join is one by shuffle whatever Spark thinks of the sizes.
 
 Defined results: vectors that are null, all zero, or hold a null or non-finite component take no part, nor do rows with
 a null id; vectors of different lengths are not compared; rows that repeat an id and its vector count once; ties go to
@@ -35,6 +36,8 @@ RELAX = 1.2
 STARTS = 16
 _BATCH = 256
 _EXPAND = 4
+#: Graphs that a writer or a reader of them holds at once; each has a few megabytes.
+_GRAPHS = 2
 
 
 def beam_search(x: np.ndarray, edges: np.ndarray, starts: np.ndarray, queries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
@@ -157,7 +160,16 @@ def shard_graphs(rows: DataFrame, shards: int) -> DataFrame:
 
     keyed = rows.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards)).cast("long"))
     schema = "dim int, shard long, ids binary, vectors binary, nodes binary, edges binary, starts binary"
-    return kept(keyed.groupBy("dim", "shard").applyInArrow(packed, schema), "graphs")
+    return kept(keyed.groupBy("dim", "shard").applyInArrow(packed, schema), "graphs", group_rows=_GRAPHS)
+
+
+def meetings(packed: DataFrame, graphs: DataFrame) -> DataFrame:
+    """Every block of queries with every graph it meets, by a shuffle.
+
+    Spark takes a block that is copied to all shards for a single one, and so could broadcast all copies.
+    """
+    met = packed.hint("merge").join(graphs, ["dim", "shard"])
+    return met.select("dim", "asked", "ids", "vectors", "nodes", "edges", "starts")
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, id_column: str = "vec_id", vector: str = "embedding", beam: int = BEAM) -> DataFrame:
@@ -203,8 +215,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, id_column: str
                     top = np.arange(len(at)) - first < k
                     yield pa.record_batch([pa.array(own[part][at[top]]), pa.array(ids[pair[top]]), pa.array(score[top])], ["query_id", "vec_id", "score"])
 
-    met = packed.join(graphs, ["dim", "shard"]).select("dim", "asked", "ids", "vectors", "nodes", "edges", "starts")
-    found = kept(met.mapInArrow(search, "query_id long, vec_id long, score double"), "found")
+    found = kept(meetings(packed, graphs).mapInArrow(search, "query_id long, vec_id long, score double"), "found")
     best = top_k_per_group(found.distinct(), ["query_id"], [F.col("score"), F.col("vec_id")], k)
     out = kept(best.select("query_id", "rank", "vec_id", "score"), "nearest")
     dropped(graphs, found)
