@@ -2,6 +2,7 @@ import random
 import re
 from collections import Counter
 
+import pyarrow.parquet as pq
 import pytest
 
 from textspark.llm import collocations as module
@@ -93,3 +94,19 @@ def test_scores_past_64_bits():
 def test_empty_tables_and_texts_without_words(corpus):
     assert collocations(corpus()).collect() == []
     assert collocations(corpus((1, None, "en"), (2, " ..", None), (3, "", ""))).collect() == []
+
+
+def test_chunks_are_stored_a_few_to_a_row_group(spark, monkeypatch):
+    monkeypatch.setattr(module, "CHUNK_BYTES", 200)
+    stored = []
+    keep = module.kept
+    monkeypatch.setattr(module, "kept", lambda df, name, **more: stored.append(keep(df, name, **more)) or stored[-1])
+    monkeypatch.setattr(module, "dropped", lambda *frames: None)
+    docs = spark.createDataFrame([(f"a b c d e {i % 7}. " * 10, "en") for i in range(120)], "text string, lang string").coalesce(1)
+    module.frequent_phrases(docs, 5, 3)
+    chunks = [f for f in stored if "state" in f.columns]
+    assert len(chunks) == 4 and chunks[0].count() > 20
+    for frame in chunks:
+        for path in frame.inputFiles():
+            meta = pq.ParquetFile(path.removeprefix("file://")).metadata
+            assert max(meta.row_group(i).num_rows for i in range(meta.num_row_groups)) <= module.ROWS

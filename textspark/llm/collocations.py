@@ -36,6 +36,8 @@ LONGEST = 5
 #: Keys of phrases held at once beside a chunk (24 bytes each), and rows handed over at once; a chunk's rows are few.
 KEYS = 1 << 20
 BATCH = 10_000
+#: Chunks that a task passes on, writes or reads at once.
+ROWS = 4
 BEST = 2000
 _BREAK, _BETWEEN = np.zeros(256, bool), np.zeros(256, bool)
 _BREAK[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
@@ -124,6 +126,12 @@ def _row(chunk: int, langs: list[str], words: list[int], state: bytes) -> pa.Rec
     return pa.record_batch(values, [f.split()[0] for f in _CHUNK.split(", ")])
 
 
+def _rows(batch: pa.RecordBatch) -> Iterator[tuple]:
+    """One row at a time, so that a single state is copied out of the batch."""
+    for i in range(batch.num_rows):
+        yield tuple(column[i].as_py() for column in batch.columns)
+
+
 def _groups(state: dict[str, np.ndarray], k: int) -> tuple[np.ndarray, np.ndarray]:
     """Keys of the k-word phrases of a chunk, sorted, and how often each occurs there."""
     if k == 1:
@@ -137,7 +145,7 @@ def grouped(chunks: DataFrame, k: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, size = [], 0
         for batch in batches:
-            for chunk, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for chunk, blob in _rows(batch):
                 key, n = _groups(unpacked(blob), k)
                 parts.append((key, n, np.full(len(key), chunk)))
                 size += len(key)
@@ -165,7 +173,7 @@ def _asked(chunks: DataFrame, k: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for chunk, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for chunk, blob in _rows(batch):
                 key, _ = _groups(unpacked(blob), k)
                 yield pa.record_batch([pa.array(np.full(len(key), chunk)), pa.array(key)], ["chunk", "key"])
 
@@ -215,7 +223,7 @@ def semi_joined(chunks: DataFrame, frequent: DataFrame, k: int) -> DataFrame:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for chunk, langs, words, blob in zip(*(c.to_pylist() for c in batch.columns)):
+                for chunk, langs, words, blob in _rows(batch):
                     yield _row(chunk, langs, words, packed(**_semi_joined(unpacked(blob), k, chunk, *shared.value)))
 
         return chunks.mapInArrow(run, _CHUNK)
@@ -238,7 +246,7 @@ _CANDIDATE = (
 def _found(longest: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for langs, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for langs, blob in _rows(batch):
                 state = unpacked(blob)
                 for k in range(2, longest + 1):
                     out = _owned(state, langs, k)
@@ -285,13 +293,13 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
 
     A phrase has its parts' counts for each cut, and key and count of the two phrases that are one word shorter.
     """
-    chunks = kept(occurrences(docs), "occurrences", batch_rows=16)
+    chunks = kept(occurrences(docs), "occurrences", batch_rows=ROWS, group_rows=ROWS)
     sizes = chunks.select(F.explode(F.arrays_zip("langs", "words")).alias("x")).groupBy(F.col("x.langs").alias("lang")).agg(F.sum("x.words").alias("n"))
     sizes = kept(sizes, "sizes")
     for k in range(1, longest + 1):
         counts = grouped(chunks, k).groupBy("key").agg(F.sum("n").alias("total"), F.min("owner").alias("owner"))
         frequent = kept(counts.filter(F.col("total") >= least), f"frequent-{k}")
-        longer = kept(semi_joined(chunks, frequent, k), f"occurrences-{k}", batch_rows=16)
+        longer = kept(semi_joined(chunks, frequent, k), f"occurrences-{k}", batch_rows=ROWS, group_rows=ROWS)
         dropped(chunks, frequent)
         chunks = longer
     found = kept(chunks.select("langs", "state").mapInArrow(_found(longest), _CANDIDATE), "phrases")
