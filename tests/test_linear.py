@@ -90,3 +90,26 @@ def test_chunks_and_terms_over_many_batches(spark, monkeypatch):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert {r.term: r.df for r in model.weights.collect()} == {"every": 9000, "left": 4500, "right": 4500, **{f"w{i}": 1286 if i < 5 else 1285 for i in range(7)}}
     assert learn.predict(model, data).filter("predicted <> label").count() == 0
+
+
+def test_a_fit_leaves_its_weights_only_and_moves_packed_cells(spark):
+    """Numbered rows, the index and the states of the steps go; a document's cells are not rows of the shuffle."""
+    from pathlib import Path
+
+    from textspark.plans.lineage import ensure_checkpoint_dir, settled
+
+    data = spark.createDataFrame(_rows(2, 60), "id bigint, text string, label string").localCheckpoint()
+    folder = Path(ensure_checkpoint_dir(spark).removeprefix("file:"))
+    before = set(folder.iterdir())
+    model = learn.text_classifier(data, [], _stages(), learn.logistic_regression(60, 4), key="id")
+    assert [p.name.split("-")[0] for p in set(folder.iterdir()) - before] == ["weights"]
+    rows = data.select(F.col("id").alias("_id"), F.split("text", " ").alias("_tokens"))
+    assert linear._dealt(rows.coalesce(1), 5).count() == 5
+    assert model.weights.select("part").distinct().count() > 1
+    context, tracker = spark.sparkContext._jsc.sc(), spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker()
+    first = context.newShuffleId()
+    assert linear.durable(data.groupBy("label").count()).count() == 2
+    assert not any(tracker.containsShuffle(i) for i in range(first, first + 2))
+    before = set(folder.iterdir())
+    out = settled(lambda: linear.durable(data), "copy")
+    assert out.count() == 60 and len(set(folder.iterdir()) - before) == 1
