@@ -417,3 +417,21 @@ def test_python_results_are_made_slice_by_slice():
     out = list(udf.sliced(lambda t: [t])(iter([values, values.iloc[:0]])))
     assert [len(o) for o in out] == [udf.SLICE_ROWS, udf.SLICE_ROWS, 5, 0]
     assert [None if v is None else v[0] for o in out for v in o] == list(values)
+
+
+def test_phrases_are_merged_and_counted_over_arrays(spark):
+    """Merging and the bag run over whole batches, not in a lambda a word; nulls, bridges and merged tokens of a first level."""
+    j = phrases.JOINT
+    rows = [(1, 0, ["new", "york", "of", "new", "york", "city"]), (1, 1, ["new", "york"]), (2, 0, None), (2, 1, ["bank", None, "of", "oslo", "new"]), (2, 2, []), (3, 0, ["york", "new", f"new{j}york", "city"])]
+    sents = spark.createDataFrame(rows, "id bigint, sent int, tokens array<string>").coalesce(1)
+    table = [(f"new{j}york", "new", "york", 9), (f"bank{j}of{j}oslo", "bank", "oslo", 7), (f"york{j}of{j}new", "york", "new", 6), (f"new{j}york{j}city", f"new{j}york", "city", 5)]
+    found = spark.createDataFrame(table, "span string, a string, b string, n long").localCheckpoint()
+    merged = phrases.apply_phrases(sents, "id", found, ["of"])
+    assert {(r.id, r.sent): r.tokens for r in merged.collect()} == {
+        (1, 0): [f"new{j}york", "of", f"new{j}york", "city"], (1, 1): [f"new{j}york"], (2, 0): None,
+        (2, 1): [f"bank{j}of{j}oslo", "new"], (2, 2): [], (3, 0): ["york", "new", f"new{j}york{j}city"],
+    }
+    bag = phrases.phrase_bag(merged, "id", ["of"], (1, 2), stop=["of"])
+    want = {(1, "new"): 3, (1, "york"): 3, (1, "new_york"): 3, (1, "city"): 1, (2, "bank"): 1, (2, "oslo"): 1, (2, "bank_of_oslo"): 1, (2, "new"): 1, (3, "york"): 2, (3, "new"): 2, (3, "city"): 1}
+    assert {(r.id, r.term): r.n for r in bag.collect()} == want
+    assert "lambda" not in bag._jdf.queryExecution().toString()
