@@ -94,3 +94,19 @@ def test_shares_of_words_are_made_inside_the_row(spark):
     shares = _shares(docs)
     assert {(r.doc_id, r.term): r.value for r in shares.collect()} == {(1, "aa"): 0.5, (1, "bb"): 0.25, (1, "cc"): 0.25, (4, "dd"): 1.0}
     assert "Exchange" not in shares._jdf.queryExecution().toString()
+
+
+def test_a_fit_keeps_its_last_weights_only(spark):
+    """Slopes, weights of earlier steps and shuffles of finished steps go."""
+    from pathlib import Path
+
+    from textspark.plans.lineage import ensure_checkpoint_dir
+
+    folder = Path(ensure_checkpoint_dir(spark).removeprefix("file:"))
+    before = set(folder.iterdir())
+    features = spark.createDataFrame([(i, f"t{(i + j) % 5}", 1.0 + j) for i in range(40) for j in range(3)], "id long, term string, value double")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "id long, label int")
+    model = sgd.fit(features, labels, "id", batches=2, epochs=2)
+    assert model.weights.count() == 6
+    # The batches, the terms, the heavy ones, the weights.
+    assert len(set(folder.iterdir()) - before) == 4
